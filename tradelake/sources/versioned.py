@@ -1,0 +1,158 @@
+"""A partitioned Parquet table whose partitions are replaced in one atomic step.
+
+Every write goes to a new folder under `data/`; a manifest under `versions/` lists, per version,
+which (write, partition) folders are live. A change rewrites only the partitions it touches, and
+readers keep the version they started with. On a catalog with row-level operations use
+`operators.upsert.merge_into_table` and the catalog's own tables instead.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tradelake.schemas import TableSpec
+from tradelake.sources import paths
+
+_WRITE = "_write"
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+# Partition values of one partition, in the order of the table's partition columns.
+Partition = tuple[int | None, ...]
+
+
+class VersionedTable:
+    """Path-based table; partition columns must be integers, as they all are here."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, schema: T.StructType, partition_by: Sequence[str]
+    ):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schema = schema
+        self.partition_by = tuple(partition_by)
+        self._manifest_schema = T.StructType(
+            [T.StructField(_WRITE, T.StringType())] + [schema[c] for c in self.partition_by]
+        )
+
+    @classmethod
+    def of(cls, spark: SparkSession, warehouse: str, spec: TableSpec) -> VersionedTable:
+        root = f"{warehouse.rstrip('/')}/{spec.database}/{spec.name}"
+        return cls(spark, root, spec.schema, spec.partition_by)
+
+    # -- versions
+
+    def _version_numbers(self) -> list[int]:
+        names = paths.child_names(self.spark, f"{self.root}/versions")
+        return sorted(int(n.removeprefix("v=")) for n in names if n.startswith("v="))
+
+    def version(self) -> int:
+        """Latest committed version, 0 for a new table."""
+        for number in reversed(self._version_numbers()):
+            if paths.exists(self.spark, f"{self._manifest_path(number)}/_SUCCESS"):
+                return number
+        return 0
+
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.root}/versions/v={version:08d}"
+
+    def _entries(self, version: int | None = None) -> list[tuple]:
+        """(write, *partition) of every live folder: one entry per partition and write."""
+        number = self.version() if version is None else version
+        if number == 0:
+            return []
+        manifest = self.spark.read.schema(self._manifest_schema).parquet(
+            self._manifest_path(number)
+        )
+        return [tuple(row) for row in manifest.collect()]
+
+    def _commit(self, base: int, entries: list[tuple]) -> int:
+        """Publish `entries`; fails if another writer committed since `base` was read."""
+        if self.version() != base:
+            raise RuntimeError(f"{self.root} changed while version {base} was being replaced")
+        number = max([base, *self._version_numbers()]) + 1
+        manifest = self.spark.createDataFrame(entries, self._manifest_schema).coalesce(1)
+        manifest.write.mode("error").parquet(self._manifest_path(number))
+        return number
+
+    # -- reads
+
+    def _folder(self, entry: tuple) -> str:
+        write, *values = entry
+        parts = "/".join(
+            f"{name}={_NULL_PARTITION if value is None else value}"
+            for name, value in zip(self.partition_by, values)
+        )
+        return f"{self.root}/data/{_WRITE}={write}/{parts}"
+
+    def _load(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        schema = T.StructType([*self.schema.fields, T.StructField(_WRITE, T.StringType())])
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
+        return reader.parquet(*folders).select(self.schema.fieldNames())
+
+    def partitions(self) -> set[Partition]:
+        return {entry[1:] for entry in self._entries()}
+
+    def read(
+        self, only: Iterable[Partition] | None = None, version: int | None = None
+    ) -> DataFrame:
+        """The live rows, of the whole table or of some partitions; lists no other folder."""
+        entries = self._entries(version)
+        if only is not None:
+            wanted = set(only)
+            entries = [e for e in entries if e[1:] in wanted]
+        return self._load([self._folder(e) for e in entries])
+
+    # -- writes
+
+    def distinct_partitions(self, df: DataFrame) -> set[Partition]:
+        """Partition values in `df`; bounded by the number of partitions, not by its rows."""
+        return {tuple(row) for row in df.select(*self.partition_by).distinct().collect()}
+
+    def _write(self, df: DataFrame) -> list[tuple]:
+        write = uuid.uuid4().hex
+        folder = f"{self.root}/data/{_WRITE}={write}"
+        # Rebalancing gathers a partition into few files and splits a hot one over many tasks.
+        (
+            df.select(self.schema.fieldNames())
+            .hint("rebalance", *self.partition_by)
+            .write.partitionBy(*self.partition_by)
+            .parquet(folder)
+        )
+        written = self._load([folder])
+        return sorted(
+            ((write, *values) for values in self.distinct_partitions(written)), key=str
+        )
+
+    def append(self, df: DataFrame) -> int:
+        base = self.version()
+        return self._commit(base, self._entries(base) + self._write(df))
+
+    def replace_partitions(self, df: DataFrame, touched: Iterable[Partition]) -> int:
+        """Make `df` the whole content of the `touched` partitions; it may have others' rows too.
+
+        `df` may read this table: it is written to a new folder before the switch.
+        """
+        base = self.version()
+        gone = set(touched)
+        written = self._write(df)
+        kept = [e for e in self._entries(base) if e[1:] not in gone]
+        return self._commit(base, kept + written)
+
+    def expire(self, keep: int = 1) -> None:
+        """Delete all but the `keep` latest versions and the data only they refer to."""
+        numbers = self._version_numbers()
+        latest = self.version()
+        keeping = [n for n in numbers if n <= latest][-keep:]
+        live = {entry[0] for n in keeping for entry in self._entries(n)}
+        for number in numbers:
+            if number < min(keeping, default=0):
+                paths.remove(self.spark, self._manifest_path(number))
+        for name in paths.child_names(self.spark, f"{self.root}/data"):
+            if name.startswith(f"{_WRITE}=") and name.split("=", 1)[1] not in live:
+                paths.remove(self.spark, f"{self.root}/data/{name}")
