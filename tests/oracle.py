@@ -54,6 +54,7 @@ if __name__ == "__main__":
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -131,11 +131,15 @@ def envelopes(
     partitions: int | None = None,
 ) -> DataFrame:
     """Messages `(key, value)`: a page of records as a JSON array, keyed by day and offset."""
+    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     encoded = df.select(*order_by, record_json(df, missing, time_format).alias("_json"))
-    indexed = with_row_index(encoded, order_by, "_index", partitions)
+    indexed = with_row_index(encoded, order_by, "_index", count)
     page = F.floor(F.col("_index") / page_size)
+    # Partitioned by page first, the rows are shuffled once and the messages stay spread out.
     return (
-        indexed.groupBy(page.alias("_page"))
+        indexed.withColumn("_page", page)
+        .repartition(count, "_page")
+        .groupBy("_page")
         .agg(F.sort_array(F.collect_list(F.struct("_index", "_json"))).alias("_rows"))
         .select(
             message_key(day, F.col("_page") * page_size).cast("binary").alias("key"),

@@ -19,28 +19,24 @@ def replace_days(
 ) -> int:
     """Make `rows` the only rows of their days; other days of the same month stay.
 
-    `days` names the days to replace, so that a day without any new row is emptied. Without it,
-    the days that occur in `rows` are replaced.
+    `days` names the days to replace, so that a day without any new row is emptied, and rows of
+    other days are left out. Without it, the days that occur in `rows` are replaced.
     """
-    staged, path = stage(rows, "replace-days")
-    try:
-        touched = table.distinct_partitions(staged)
-        if days is None:
+    columns = table.schema.fieldNames()
+    if days is None:
+        staged, path = stage(rows, "replace-days")
+        try:
+            touched = table.distinct_partitions(staged)
             other = table.read(touched).join(staged.select(DAY).distinct(), DAY, "left_anti")
-        else:
-            first, last = days if isinstance(days, tuple) else (days, days)
-            touched |= {
-                p
-                for p in table.partitions()
-                if None not in p and (first.year, first.month) <= p <= (last.year, last.month)
-            }
-            inside = F.col(DAY).between(F.lit(first), F.lit(last))
-            other = table.read(touched).filter(~F.coalesce(inside, F.lit(False)))
-        return table.replace_partitions(
-            other.select(table.schema.fieldNames()).unionByName(staged), touched
-        )
-    finally:
-        paths.remove(rows.sparkSession, path)
+            return table.replace_partitions(other.select(columns).unionByName(staged), touched)
+        finally:
+            paths.remove(rows.sparkSession, path)
+    first, last = days if isinstance(days, tuple) else (days, days)
+    months = (first.year, first.month), (last.year, last.month)
+    touched = {p for p in table.partitions() if None not in p and months[0] <= p <= months[1]}
+    inside = F.coalesce(F.col(DAY).between(F.lit(first), F.lit(last)), F.lit(False))
+    merged = table.read(touched).filter(~inside).unionByName(rows.filter(inside))
+    return table.replace_partitions(merged, touched)
 
 
 def append_rows(table: VersionedTable, rows: DataFrame) -> int:

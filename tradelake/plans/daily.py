@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -106,12 +107,16 @@ def report_days(
     rows = silver_days(lake, days) if source is None else source
     totals, path = stage(day_totals(rows), "day-totals")
     try:
-        for summary in summaries:
+
+        def write(summary: Summary) -> int:
             table, report = lake.gold(summary), roll_up(totals, summary)
             if mode == "append":
-                append_rows(table, report)
-            else:
-                replace_days(table, report, days)
+                return append_rows(table, report)
+            return replace_days(table, report, days)
+
+        # Small independent jobs: submitted together, they share the cluster.
+        with ThreadPoolExecutor(len(summaries)) as pool:
+            list(pool.map(write, summaries))
     finally:
         paths.remove(lake.spark, path)
 

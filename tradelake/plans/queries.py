@@ -20,7 +20,7 @@ from tradelake.operators.slices import day_slice, to_raw
 from tradelake.operators.summaries import EXCHANGE, MARKET, ORDER_TYPE, STOCK, Summary, summarise
 from tradelake.operators.upsert import upsert, upsert_into
 from tradelake.plans.daily import Lake, clean_days, ingest_day, report_days
-from tradelake.session import scratch_path
+from tradelake.session import scratch_path, stage
 from tradelake.sources import catalog, messages
 from tradelake.sources.day_files import read_day_file, write_day_file
 from tradelake.sources.raw import read_raw
@@ -103,7 +103,7 @@ def silver_table_upsert(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "silver-table")
     silver_table = VersionedTable.of(spark, root, schemas.SILVER)
     for batch in _two_batches(spark, folder):
-        upsert_into(silver_table, batch, KEY)
+        upsert_into(silver_table, stage(batch, "updates")[0], KEY)
     return silver_table.read()
 
 

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,3 +54,8 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, in a form whose size the planner knows."""
+    return spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

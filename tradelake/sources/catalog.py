@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradelake.schemas import TABLES, TableSpec
+from tradelake.sources.layout import by_partition
 
 
 def table_name(spec: TableSpec, prefix: str = "") -> str:
@@ -44,4 +45,4 @@ def create_tables(
 def append_to(df: DataFrame, spec: TableSpec, prefix: str = "") -> None:
     """INSERT INTO a partitioned table, whose partition columns come last in its schema."""
     rows = df.select(df.sparkSession.table(table_name(spec, prefix)).columns)
-    rows.hint("rebalance", *spec.partition_by).write.insertInto(table_name(spec, prefix))
+    by_partition(rows, spec.partition_by).write.insertInto(table_name(spec, prefix))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tradelake.functions.calendar import Days, on_days
 from tradelake.schemas import DAY_PARTS, RAW
+from tradelake.session import empty
 
 # Innermost partition column: which stream and batch a folder came from. Not part of the table.
 BATCH = "ingest"
@@ -43,6 +44,6 @@ def read_raw(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        df = spark.createDataFrame([], full)
+        df = empty(spark, full)
     rows = df.select(schema.fieldNames())
     return rows if days == "all" else rows.filter(on_days(days))

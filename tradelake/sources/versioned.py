@@ -9,15 +9,19 @@ readers keep the version they started with. On a catalog with row-level operatio
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tradelake.schemas import TableSpec
+from tradelake.session import empty
 from tradelake.sources import paths
+from tradelake.sources.layout import by_partition
 
 _WRITE = "_write"
+_WRITTEN = "_written"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 # Partition values of one partition, in the order of the table's partition columns.
@@ -35,7 +39,8 @@ class VersionedTable:
         self.schema = schema
         self.partition_by = tuple(partition_by)
         self._manifest_schema = T.StructType(
-            [T.StructField(_WRITE, T.StringType())] + [schema[c] for c in self.partition_by]
+            [T.StructField(_WRITE, T.StringType()), T.StructField(_WRITTEN, T.IntegerType())]
+            + [schema[c] for c in self.partition_by]
         )
 
     @classmethod
@@ -60,7 +65,7 @@ class VersionedTable:
         return f"{self.root}/versions/v={version:08d}"
 
     def _entries(self, version: int | None = None) -> list[tuple]:
-        """(write, *partition) of every live folder: one entry per partition and write."""
+        """(write, partitions it wrote, *partition) of every live folder."""
         number = self.version() if version is None else version
         if number == 0:
             return []
@@ -80,23 +85,34 @@ class VersionedTable:
 
     # -- reads
 
-    def _folder(self, entry: tuple) -> str:
-        write, *values = entry
-        parts = "/".join(
-            f"{name}={_NULL_PARTITION if value is None else value}"
-            for name, value in zip(self.partition_by, values)
-        )
-        return f"{self.root}/data/{_WRITE}={write}/{parts}"
+    def _folders(self, entries: list[tuple]) -> list[str]:
+        """Folders of the entries: a whole write where every partition of it is asked for."""
+        by_write = defaultdict(list)
+        for write, written, *values in entries:
+            by_write[write, written].append(values)
+        folders = []
+        for (write, written), partitions in by_write.items():
+            folder = f"{self.root}/data/{_WRITE}={write}"
+            if len(partitions) == written:
+                folders.append(folder)
+                continue
+            for values in partitions:
+                parts = (
+                    f"{name}={_NULL_PARTITION if value is None else value}"
+                    for name, value in zip(self.partition_by, values)
+                )
+                folders.append("/".join([folder, *parts]))
+        return folders
 
     def _load(self, folders: list[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            return empty(self.spark, self.schema)
         schema = T.StructType([*self.schema.fields, T.StructField(_WRITE, T.StringType())])
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
         return reader.parquet(*folders).select(self.schema.fieldNames())
 
     def partitions(self) -> set[Partition]:
-        return {entry[1:] for entry in self._entries()}
+        return {entry[2:] for entry in self._entries()}
 
     def read(
         self, only: Iterable[Partition] | None = None, version: int | None = None
@@ -105,8 +121,8 @@ class VersionedTable:
         entries = self._entries(version)
         if only is not None:
             wanted = set(only)
-            entries = [e for e in entries if e[1:] in wanted]
-        return self._load([self._folder(e) for e in entries])
+            entries = [e for e in entries if e[2:] in wanted]
+        return self._load(self._folders(entries))
 
     # -- writes
 
@@ -117,17 +133,10 @@ class VersionedTable:
     def _write(self, df: DataFrame) -> list[tuple]:
         write = uuid.uuid4().hex
         folder = f"{self.root}/data/{_WRITE}={write}"
-        # Rebalancing gathers a partition into few files and splits a hot one over many tasks.
-        (
-            df.select(self.schema.fieldNames())
-            .hint("rebalance", *self.partition_by)
-            .write.partitionBy(*self.partition_by)
-            .parquet(folder)
-        )
-        written = self._load([folder])
-        return sorted(
-            ((write, *values) for values in self.distinct_partitions(written)), key=str
-        )
+        rows = by_partition(df.select(self.schema.fieldNames()), self.partition_by)
+        rows.write.partitionBy(*self.partition_by).parquet(folder)
+        written = self.distinct_partitions(self._load([folder]))
+        return [(write, len(written), *values) for values in sorted(written, key=str)]
 
     def append(self, df: DataFrame) -> int:
         base = self.version()
@@ -141,7 +150,7 @@ class VersionedTable:
         base = self.version()
         gone = set(touched)
         written = self._write(df)
-        kept = [e for e in self._entries(base) if e[1:] not in gone]
+        kept = [e for e in self._entries(base) if e[2:] not in gone]
         return self._commit(base, kept + written)
 
     def expire(self, keep: int = 1) -> None:
