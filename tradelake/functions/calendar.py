@@ -49,4 +49,5 @@ def message_key(day: date, offset: Column) -> Column:
 
 def transaction_id(number: Column, width: int = 7) -> Column:
     """`tx_` and a zero-padded number; longer numbers keep all their digits."""
-    return F.format_string(f"tx_%0{width}d", number)
+    digits = number.cast("string")
+    return F.concat(F.lit("tx_"), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))

@@ -4,24 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 from itertools import accumulate
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelake.functions.calendar import message_key
 from tradelake.session import stage
 from tradelake.sources.day_files import TIME_FORMAT
+from tradelake.sources.layout import estimated_bytes
 
 # Fixed value: records per message.
 PAGE_SIZE = 100
 
-# Up to this many leading rows, a page is cut from a top-k; beyond it, from row positions.
-TOP_ROWS = 100_000
+# Up to this many leading rows, a page is cut from a top-k; beyond it, from row positions. The
+# planner applies a row-number limit before the shuffle only up to this size.
+TOP_ROWS = 1_000
+
+# Groups that the leading rows of all input partitions are first merged in.
+_TOP_GROUPS = 256
+
+# Bytes of input per range partition, and the most partitions to ask for.
+_RANGE_BYTES = 256 << 20
+_MOST_RANGES = 10_000
 
 _POSITION_MASK = (1 << 33) - 1
 
 
+def range_count(df: DataFrame) -> int:
+    """Partitions for a global order: the session's shuffle setting, more for a large input."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, min(estimated_bytes(df) // _RANGE_BYTES, _MOST_RANGES))
+
+
 def with_row_index(
     df: DataFrame, order_by: Sequence[str], name: str = "row_index", partitions: int | None = None
 ) -> DataFrame:
@@ -33,7 +50,7 @@ def with_row_index(
     stage other inputs first.
     """
     spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or range_count(df)
     keys = [*order_by, "_tie"]
     placed, _ = stage(
         df.withColumn("_tie", F.monotonically_increasing_id())
@@ -62,13 +79,25 @@ def with_row_index(
 def page_slice(
     df: DataFrame, order_by: Sequence[str], offset: int, limit: int = PAGE_SIZE
 ) -> DataFrame:
-    """`limit` rows from `offset` on; nothing when the offset is past the end."""
-    if offset + limit <= TOP_ROWS:
-        return df.orderBy(*order_by).offset(offset).limit(limit)
+    """`limit` rows from `offset` on; nothing when the offset is past the end.
+
+    For an early page, each group of input partitions keeps its leading rows, so the last merge
+    sees a fixed number of rows and not some of every input partition.
+    """
+    end = offset + limit
+    if end <= TOP_ROWS:
+        leading = Window.partitionBy("_group").orderBy(*order_by)
+        leaders = (
+            df.withColumn("_group", F.spark_partition_id() % _TOP_GROUPS)
+            .withColumn("_rank", F.row_number().over(leading))
+            .filter(F.col("_rank") <= end)
+            .drop("_group", "_rank")
+        )
+        return leaders.orderBy(*order_by).offset(offset).limit(limit)
     position = F.col("_position")
     return (
         with_row_index(df, order_by, "_position")
-        .filter((position >= offset) & (position < offset + limit))
+        .filter((position >= offset) & (position < end))
         .drop("_position")
     )
 
@@ -83,17 +112,13 @@ def page_status(df: DataFrame, offset: int, limit: int = PAGE_SIZE) -> DataFrame
 
 def page_listing(df: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Every page a reader gets: its offset, its row count and its status."""
-    total = F.col("_total")
-    offsets = F.sequence(F.lit(0).cast("long"), F.greatest(total - 1, F.lit(0)), F.lit(page_size))
-    last = F.col("page_offset") + page_size >= total
-    return (
-        df.agg(F.count(F.lit(1)).alias("_total"))
-        .select("_total", F.explode(offsets).alias("page_offset"))
-        .select(
-            "page_offset",
-            F.least(F.lit(page_size), total - F.col("page_offset")).alias("page_rows"),
-            F.when(last, "complete").otherwise("success").alias("status"),
-        )
+    total = df.count()
+    # A reader of an empty table still asks for one page.
+    offset = F.col("id")
+    return df.sparkSession.range(0, max(total, 1), page_size).select(
+        offset.alias("page_offset"),
+        F.least(F.lit(page_size).cast("long"), F.lit(total) - offset).alias("page_rows"),
+        F.when(offset + page_size >= total, "complete").otherwise("success").alias("status"),
     )
 
 
@@ -106,19 +131,22 @@ def record_json(
     the bare token NaN, as senders do that know only floating-point missing values.
     """
     options = {"timestampNTZFormat": time_format, "timestampFormat": time_format}
+    whole = F.to_json(F.struct(*df.columns), options)
     if missing == "omit":
-        return F.to_json(F.struct(*df.columns), options)
-    fields = []
+        return whole
+    absent, fields = [], []
     for field in df.schema:
         value = F.col(field.name)
+        gone = value.isNull()
         if field.dataType.typeName() in ("double", "float"):
-            value = F.nullif(value, F.lit(float("nan")))
+            gone = gone | F.isnan(value)
         # A one-field object, without its braces.
-        pair = F.to_json(F.struct(value.alias(field.name)), options)
-        absent = F.lit(f'"{field.name}":NaN')
+        pair = F.to_json(F.struct(value), options)
         inner = F.substring(pair, F.lit(2), F.length(pair) - 2)
-        fields.append(F.when(value.isNull(), absent).otherwise(inner))
-    return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+        fields.append(F.when(gone, F.lit(f'"{field.name}":NaN')).otherwise(inner))
+        absent.append(gone)
+    by_field = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    return F.when(reduce(or_, absent), by_field).otherwise(whole)
 
 
 def envelopes(
@@ -131,13 +159,14 @@ def envelopes(
     partitions: int | None = None,
 ) -> DataFrame:
     """Messages `(key, value)`: a page of records as a JSON array, keyed by day and offset."""
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    encoded = df.select(*order_by, record_json(df, missing, time_format).alias("_json"))
-    indexed = with_row_index(encoded, order_by, "_index", count)
+    count = partitions or range_count(df)
+    # Encoding comes after the rows are placed: finding the ranges reads the input once more.
+    indexed = with_row_index(df, order_by, "_index", count)
+    encoded = indexed.select("_index", record_json(df, missing, time_format).alias("_json"))
     page = F.floor(F.col("_index") / page_size)
     # Partitioned by page first, the rows are shuffled once and the messages stay spread out.
     return (
-        indexed.withColumn("_page", page)
+        encoded.withColumn("_page", page)
         .repartition(count, "_page")
         .groupBy("_page")
         .agg(F.sort_array(F.collect_list(F.struct("_index", "_json"))).alias("_rows"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +40,9 @@ def upsert_into(table: VersionedTable, updates: DataFrame, key: Sequence[str]) -
 
 def merge_into_table(updates: DataFrame, table: str, key: Sequence[str]) -> None:
     """The same upsert as a native MERGE, for catalogs with row-level operations."""
-    matches = reduce(and_, (F.col(f"{table}.{c}") == F.col(f"updates.{c}") for c in key))
-    (
-        updates.alias("updates")
-        .mergeInto(table, matches)
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
+    matches = " AND ".join(f"t.{c} = u.{c}" for c in key)
+    updates.sparkSession.sql(
+        f"MERGE INTO {table} t USING {{updates}} u ON {matches} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
+        updates=updates,
     )

@@ -133,7 +133,8 @@ def _gold_table(spark: SparkSession, summary: Summary) -> VersionedTable:
 
 
 def gold_append_twice(spark: SparkSession, folder: str) -> DataFrame:
-    market, rows = _gold_table(spark, MARKET), summarise(silver(spark, folder), MARKET)
+    market = _gold_table(spark, MARKET)
+    rows, _ = stage(summarise(silver(spark, folder), MARKET), "market")
     for _ in range(2):
         append_rows(market, rows)
     return _rounded(market.read())
@@ -141,7 +142,8 @@ def gold_append_twice(spark: SparkSession, folder: str) -> DataFrame:
 
 def gold_replace_day(spark: SparkSession, folder: str) -> DataFrame:
     """Summaries of the raw rows first, then each half of the days replaced, the last one twice."""
-    market, rows = _gold_table(spark, MARKET), summarise(silver(spark, folder), MARKET)
+    market = _gold_table(spark, MARKET)
+    rows, _ = stage(summarise(silver(spark, folder), MARKET), "market")
     append_rows(market, summarise(bronze(spark, folder), MARKET))
     cut = date(1998, 7, 15)
     replace_days(market, rows.filter(F.col("report_date") < F.lit(cut)), (date(1900, 1, 1), date(1998, 7, 14)))

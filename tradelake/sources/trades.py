@@ -21,7 +21,7 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
     slot = F.col("l_suppkey") % 20
     return line.select(
         transaction_id(F.col("l_orderkey") * 10 + F.col("l_linenumber"), 9).alias("transaction_id"),
-        (F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)).alias("ts"),
+        (F.col("l_shipdate") + F.expr("INTERVAL '1' SECOND") * seconds).alias("ts"),
         F.concat(F.lit("S"), F.lpad(slot.cast("string"), 2, "0")).alias("stock_symbol"),
         F.when(dirt == 1, F.lit(None))
         .when(dirt == 2, F.lit(float("nan")))
