@@ -40,3 +40,23 @@ def lake(spark, tmp_path):
     from tradelake.plans.daily import Lake
 
     return Lake(spark, str(tmp_path / "lake"))
+
+
+@pytest.fixture(scope="session")
+def few_days(sf, tmp_path_factory) -> str:
+    """The smallest tables with their ship dates folded into forty days, around 1998-07-01.
+
+    For queries that write one file per day: local disks are slow at creating thousands of files.
+    """
+    import duckdb
+
+    folder = tmp_path_factory.mktemp("few-days")
+    for path in Path(sf).glob("*.parquet"):
+        (folder / path.name).symlink_to(path)
+    line = folder / "lineitem.parquet"
+    line.unlink()
+    duckdb.connect().execute(
+        f"""COPY (SELECT * REPLACE (TIMESTAMP '1998-06-11' + to_days(CAST(epoch(l_shipdate) // 86400 % 40 AS INTEGER)) AS l_shipdate)
+        FROM '{sf}/lineitem.parquet') TO '{line}' (FORMAT parquet)"""
+    )
+    return str(folder)
