@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tradelake.functions.calendar import message_key
 from tradelake.session import stage
 from tradelake.sources.day_files import TIME_FORMAT
-from tradelake.sources.layout import estimated_bytes
+from tradelake.sources.layout import UNKNOWN_BYTES, estimated_bytes
 
 # Fixed value: records per message.
 PAGE_SIZE = 100
@@ -36,7 +36,10 @@ _POSITION_MASK = (1 << 33) - 1
 def range_count(df: DataFrame) -> int:
     """Partitions for a global order: the session's shuffle setting, more for a large input."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, min(estimated_bytes(df) // _RANGE_BYTES, _MOST_RANGES))
+    size = estimated_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        return configured
+    return max(configured, min(size // _RANGE_BYTES, _MOST_RANGES))
 
 
 def with_row_index(

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 # Up to this estimated size, all of it fits one task, so one partition may hold any share of it.
 SMALL_WRITE_BYTES = 1 << 30
 
+# The planner's placeholder for rows of unknown size is eight exabytes, less for some columns.
+UNKNOWN_BYTES = 1 << 60
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """The planner's size estimate: file sizes at the scans, never too small for our plans."""
