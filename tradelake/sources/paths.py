@@ -25,3 +25,14 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     fs, jpath = _resolve(spark, path)
     fs.delete(jpath, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, source = _resolve(spark, path)
+    if not fs.rename(source, _resolve(spark, to)[1]):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, jpath = _resolve(spark, path)
+    fs.mkdirs(jpath)
