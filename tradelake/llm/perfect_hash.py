@@ -8,8 +8,9 @@ import numpy as np
 
 from tradelake.llm.textbytes import mix
 
-# Keys per group that shares a displacement.
-GROUP = 4
+# Keys per group that shares a displacement, and seeds that are tried at once.
+GROUP = 2
+SEEDS = 64
 
 
 class PerfectHash(NamedTuple):
@@ -32,7 +33,7 @@ def _group(keys: np.ndarray, groups: int) -> np.ndarray:
 
 
 def _slot(keys: np.ndarray, seeds: np.ndarray, size: int) -> np.ndarray:
-    seeded = mix(keys ^ mix(np.atleast_1d(seeds).astype(np.uint64) + np.uint64(1)))
+    seeded = mix(keys ^ mix(seeds.astype(np.uint64) + np.uint64(1)))
     return (seeded % np.uint64(size)).astype(np.int64)
 
 
@@ -40,6 +41,20 @@ def _print(keys: np.ndarray) -> np.ndarray:
     return (mix(keys ^ np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(32)).astype(np.uint32)
 
 
+def _free_seed(keys: np.ndarray, taken: np.ndarray) -> tuple[int, np.ndarray]:
+    """The first seed that puts the keys on slots of their own, and those slots."""
+    first = 0
+    while True:
+        seeds = np.arange(first, first + SEEDS)
+        slots = _slot(keys[None, :], seeds[:, None], len(taken))
+        ordered = np.sort(slots, axis=1)
+        fits = ~taken[slots].any(axis=1) & (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
+        if fits.any():
+            at = int(fits.argmax())
+            return int(seeds[at]), slots[at]
+        first += SEEDS
+
+
 def build(keys: np.ndarray) -> PerfectHash:
     """Hash and displace: large groups first look for a seed that puts all their keys on free slots;
     groups of one key then take any slot. `keys` are distinct 64-bit unsigned integers."""
@@ -53,12 +68,7 @@ def build(keys: np.ndarray) -> PerfectHash:
         if count[at] == 1:
             break
         own = keys[order[begin[at] : begin[at] + count[at]]]
-        seed = 0
-        while True:
-            slots = _slot(own, np.int64(seed), size)
-            if not taken[slots].any() and len(set(slots.tolist())) == len(slots):
-                break
-            seed += 1
+        seed, slots = _free_seed(own, taken)
         taken[slots] = True
         displace[number[at]] = seed
     single = number[count == 1]
