@@ -36,7 +36,7 @@ SHARD_BYTES = 512 << 20
 _LEAST_SHARD = 1 << 20
 BUCKET_KEYS = 4096
 # Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 
 _NO_KEY = -(1 << 63)
 _MANIFEST = (
