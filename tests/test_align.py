@@ -88,3 +88,15 @@ def test_symbols(spark):
 def test_long_ids_keep_their_digits(spark):
     ids = spark.createDataFrame([(1,), (1234567,), (123456789,)], "n long").select(transaction_id(F.col("n")))
     assert [r[0] for r in ids.collect()] == ["tx_0000001", "tx_1234567", "tx_123456789"]
+
+
+def test_nearest_minute_ignores_the_session_zone(spark):
+    """02:15 does not exist in New York on this day; a time without zone stays what it is."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = spark.sql("SELECT TIMESTAMP_NTZ '2025-03-09 02:15:10' AS ts")
+        found = row.select(nearest_minute(F.col("ts")).cast("string").alias("m")).first().m
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == "2025-03-09 02:15:00"

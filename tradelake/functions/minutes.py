@@ -18,13 +18,15 @@ def at_time(day: Column, clock: time) -> Column:
     offset = F.make_dt_interval(
         F.lit(0), F.lit(clock.hour), F.lit(clock.minute), F.lit(clock.second)
     )
-    return F.date_trunc("day", day).cast("timestamp_ntz") + offset
+    return day.cast("date").cast("timestamp_ntz") + offset
 
 
 def nearest_minute(ts: Column) -> Column:
     """The whole minute closest to `ts`; exactly half way goes to the earlier one."""
-    minute = F.date_trunc("minute", ts).cast("timestamp_ntz")
-    past_half = F.extract(F.lit("second"), ts) > STEP_SECONDS / 2
+    # Intervals keep times without zone so; truncation would read them in the session's zone.
+    second = F.extract(F.lit("second"), ts)
+    minute = ts.cast("timestamp_ntz") - F.make_dt_interval(secs=second)
+    past_half = second > STEP_SECONDS / 2
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(STEP_SECONDS))
     return F.when(past_half, minute + step).otherwise(minute)
 

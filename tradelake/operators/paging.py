@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tradelake.functions.calendar import message_key
 from tradelake.session import stage
-from tradelake.sources.day_files import TIME_FORMAT
+from tradelake.sources.day_files import MICROS
 from tradelake.sources.layout import UNKNOWN_BYTES, estimated_bytes
 
 # Fixed value: records per message.
@@ -26,9 +26,8 @@ TOP_ROWS = 1_000
 # Groups that the leading rows of all input partitions are first merged in.
 _TOP_GROUPS = 256
 
-# Bytes of input per range partition, and the most partitions to ask for.
+# Bytes of input per range partition.
 _RANGE_BYTES = 256 << 20
-_MOST_RANGES = 10_000
 
 _POSITION_MASK = (1 << 33) - 1
 
@@ -39,7 +38,7 @@ def range_count(df: DataFrame) -> int:
     size = estimated_bytes(df)
     if size >= UNKNOWN_BYTES:
         return configured
-    return max(configured, min(size // _RANGE_BYTES, _MOST_RANGES))
+    return max(configured, size // _RANGE_BYTES)
 
 
 def with_row_index(
@@ -82,25 +81,29 @@ def with_row_index(
 def page_slice(
     df: DataFrame, order_by: Sequence[str], offset: int, limit: int = PAGE_SIZE
 ) -> DataFrame:
-    """`limit` rows from `offset` on; nothing when the offset is past the end.
+    """`limit` rows from `offset` on, in order; nothing when the offset is past the end.
 
+    Early and late pages are cut by different plans from one order, in which the scan position
+    breaks ties, so that pages fit together wherever they begin.
     For an early page, each group of input partitions keeps its leading rows, so the last merge
     sees a fixed number of rows and not some of every input partition.
     """
     end = offset + limit
     if end <= TOP_ROWS:
-        leading = Window.partitionBy("_group").orderBy(*order_by)
+        leading = Window.partitionBy("_group").orderBy(*order_by, "_tie")
         leaders = (
-            df.withColumn("_group", F.spark_partition_id() % _TOP_GROUPS)
+            df.withColumn("_tie", F.monotonically_increasing_id())
+            .withColumn("_group", F.spark_partition_id() % _TOP_GROUPS)
             .withColumn("_rank", F.row_number().over(leading))
             .filter(F.col("_rank") <= end)
             .drop("_group", "_rank")
         )
-        return leaders.orderBy(*order_by).offset(offset).limit(limit)
+        return leaders.orderBy(*order_by, "_tie").offset(offset).limit(limit).drop("_tie")
     position = F.col("_position")
     return (
         with_row_index(df, order_by, "_position")
         .filter((position >= offset) & (position < end))
+        .orderBy("_position")
         .drop("_position")
     )
 
@@ -126,7 +129,7 @@ def page_listing(df: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
 
 
 def record_json(
-    df: DataFrame, missing: str = "omit", time_format: str = TIME_FORMAT
+    df: DataFrame, missing: str = "omit", time_format: str = MICROS
 ) -> Column:
     """All columns of `df` as one JSON object.
 
@@ -158,7 +161,7 @@ def envelopes(
     day: date,
     page_size: int = PAGE_SIZE,
     missing: str = "omit",
-    time_format: str = TIME_FORMAT,
+    time_format: str = MICROS,
     partitions: int | None = None,
 ) -> DataFrame:
     """Messages `(key, value)`: a page of records as a JSON array, keyed by day and offset."""

@@ -102,9 +102,14 @@ def report_days(
 ) -> None:
     """Write the daily summaries from one shared scan of the cleaned (or another) table.
 
-    `replace_day` can be repeated; `append` adds the day's rows again on every run.
+    `replace_day` can be repeated; `append` adds the day's rows again on every run. Rows of other
+    days in `source`, and those without a time, are left out.
     """
-    rows = silver_days(lake, days) if source is None else source
+    if source is None:
+        rows = silver_days(lake, days)
+    else:
+        first, last = days if isinstance(days, tuple) else (days, days)
+        rows = source.filter(F.to_date("ts").between(F.lit(first), F.lit(last)))
     totals, path = stage(day_totals(rows), "day-totals")
     try:
 

@@ -157,7 +157,7 @@ FROM events ORDER BY ts, event_id LIMIT 100 OFFSET 300""",
             THEN 'complete' ELSE 'success' END AS status
 FROM (SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS n FROM events)
 GROUP BY n // 100""",
-    "csv_roundtrip": """SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type,
+    "csv_roundtrip": """SELECT event_id, ts, user_id, event_type,
        value, props FROM events""",
     "wire_missing_values": f"""WITH trades AS ({_TRADES})
 SELECT transaction_id, ts, stock_symbol,

@@ -132,6 +132,13 @@ def _gold_table(spark: SparkSession, summary: Summary) -> VersionedTable:
     return VersionedTable.of(spark, scratch_path(spark, "gold-table"), summary.table)
 
 
+def _day_bounds(rows: DataFrame, column: str, inside: date) -> tuple[date, date]:
+    """First and last day of the rows, widened to take in `inside`."""
+    day = F.to_date(column)
+    first, last = rows.agg(F.min(day), F.max(day)).first()
+    return min(first or inside, inside), max(last or inside, inside)
+
+
 def gold_append_twice(spark: SparkSession, folder: str) -> DataFrame:
     market = _gold_table(spark, MARKET)
     rows, _ = stage(summarise(silver(spark, folder), MARKET), "market")
@@ -146,9 +153,10 @@ def gold_replace_day(spark: SparkSession, folder: str) -> DataFrame:
     rows, _ = stage(summarise(silver(spark, folder), MARKET), "market")
     append_rows(market, summarise(bronze(spark, folder), MARKET))
     cut = date(1998, 7, 15)
-    replace_days(market, rows.filter(F.col("report_date") < F.lit(cut)), (date(1900, 1, 1), date(1998, 7, 14)))
+    first, last = _day_bounds(rows, "report_date", cut)
+    replace_days(market, rows.filter(F.col("report_date") < F.lit(cut)), (first, date(1998, 7, 14)))
     for _ in range(2):
-        replace_days(market, rows.filter(F.col("report_date") >= F.lit(cut)), (cut, date(2100, 1, 1)))
+        replace_days(market, rows.filter(F.col("report_date") >= F.lit(cut)), (cut, last))
     return _rounded(market.read())
 
 
@@ -296,7 +304,7 @@ def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     sent = envelopes(records, ["timestamp", *KEY], RUN_DAY, missing="nan")
     messages.write(sent, f"{root}/topics", day_name(RUN_DAY), "parquet")
     ingest_day(lake, f"{root}/topics", RUN_DAY)
-    days = (date(1900, 1, 1), RUN_DAY)
+    days = _day_bounds(records, "timestamp", RUN_DAY)
     clean_days(lake, days)
     report_days(lake, days)
     return _rounded(lake.gold(STOCK).read())

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from threading import Event
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener, StreamingQuery
 
 from tradelake.operators.slices import to_raw
 from tradelake.schemas import RECORD
@@ -67,13 +70,43 @@ def start_ingest(
 
 def ingest_available(messages: DataFrame, table: str, checkpoint: str, stream: str, **options) -> dict:
     """Ingest everything that is there now, then stop; gives the message counts."""
-    query = start_ingest(
-        messages, table, checkpoint, stream, trigger={"availableNow": True}, **options
-    )
-    query.awaitTermination()
-    counts = {"messages": 0, "undecodable": 0}
-    for progress in query.recentProgress:
-        observed = progress["observedMetrics"].get(METRICS)
-        for name in counts:
-            counts[name] += observed[name] if observed else 0
-    return counts
+    streams = messages.sparkSession.streams
+    listener = _Counter()
+    streams.addListener(listener)
+    try:
+        query = start_ingest(
+            messages, table, checkpoint, stream, trigger={"availableNow": True}, **options
+        )
+        query.awaitTermination()
+        # The end is told after all batches.
+        listener.wait_for(str(query.runId))
+    finally:
+        streams.removeListener(listener)
+    return listener.counts.get(str(query.runId), {"messages": 0, "undecodable": 0})
+
+
+class _Counter(StreamingQueryListener):
+    """Sums of the observed counts over all batches; a query itself remembers its last hundred."""
+
+    def __init__(self) -> None:
+        self.counts: dict[str, dict[str, int]] = {}
+        self._ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        observed = event.progress.observedMetrics.get(METRICS)
+        sums = self.counts.setdefault(str(event.progress.runId), {"messages": 0, "undecodable": 0})
+        for name in sums:
+            sums[name] += observed[name] if observed else 0
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def wait_for(self, run: str) -> None:
+        if not self._ended[run].wait(60):
+            raise TimeoutError(f"no word of the end of streaming run {run}")
