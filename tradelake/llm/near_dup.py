@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm import textbytes as tb
-from tradelake.llm.components import components
+from tradelake.llm.components import components, join_components
 from tradelake.llm.scratch import Scratch
 
 # 42 bands of 6 slots miss a pair of similarity 0.8 three times in a million.
@@ -153,12 +153,11 @@ class _Matcher:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Confirmed pairs among `pairs` (`a`, `b`); pairs of an earlier call are not tried again."""
-        pairs = pairs.distinct()
+        near = self._plausible(pairs.distinct())
         for old in self.tested:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = self.scratch.keep(pairs, "pairs")
-        self.tested.append(pairs)
-        near = self.scratch.keep(self._plausible(pairs), "plausible")
+            near = near.join(old, ["a", "b"], "left_anti")
+        near = self.scratch.keep(near, "plausible")
+        self.tested.append(near)
         ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         kind = self.rows.schema["id"].dataType.simpleString()
         texts = self.rows.join(ends, self.rows["id"] == ends["node"]).drop("node")
@@ -263,14 +262,12 @@ def near_duplicates(
     busy = scratch.keep(banded.join(shared, "bucket"), "busy")
 
     matcher = _Matcher(rows, nodes, shingle, percent, scratch)
-    links = matcher.links(_pair("hub", "node", busy))
-    labels = components(links, scratch)
+    labels = components(matcher.links(_pair("hub", "node", busy)), scratch)
     for pairs in (_leaders, _across):
         mixed = scratch.keep(_open(busy.select("bucket", "node"), labels), "open")
         if mixed.isEmpty():
             break
-        links = links.union(matcher.links(pairs(mixed)))
-        labels = components(links, scratch)
+        labels = join_components(labels, matcher.links(pairs(mixed)), scratch)
 
     found = (
         signed.select("id", "n", "digest")
