@@ -342,3 +342,29 @@ def test_near_duplicates_equal_brute_force(spark, size):
 
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rarest_shingles_find_all_similar_pairs(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    texts = {}
+    for i in range(80):
+        words = base[: rng.choice([3, 6, 20, 60])]
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(40)}"
+        texts[i] = " ".join(words)
+    sets = {i: set(zip(t.split(), t.split()[1:], strict=False)) for i, t in texts.items()}
+    want = {
+        (i, j)
+        for i in sets
+        for j in sets
+        if i < j and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])
+    }
+    assert want
+    rows = spark.createDataFrame(list(texts.items()), "id long, text string")
+    mixed = rows.selectExpr("1L as bucket", "id as node", "id as component")
+    scratch = Scratch(spark, "test")
+    matcher = near_dup._Matcher(rows, None, 2, 80, scratch)
+    got = {tuple(r) for r in near_dup._across(mixed, matcher).distinct().collect()}
+    scratch.drop()
+    assert want <= got and len(got) < len(sets) * (len(sets) - 1) // 4

@@ -159,12 +159,7 @@ class _Matcher:
         near = self.scratch.keep(near, "plausible")
         self.tested.append(near)
         ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        kind = self.rows.schema["id"].dataType.simpleString()
-        texts = self.rows.join(ends, self.rows["id"] == ends["node"]).drop("node")
-        sets = texts.mapInArrow(
-            partial(_list_sets, size=self.size), f"node {kind}, items array<long>"
-        ).filter(F.size("items") > 0)
-        sets, path = self.scratch.table(sets, "sets")
+        sets, path = self.scratch.table(self.sets(ends), "sets")
         left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
         right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
         shared = F.size(F.array_intersect("x", "y"))
@@ -180,6 +175,14 @@ class _Matcher:
         self.scratch.drop(path)
         return links
 
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """The full shingle set (`items`) of each of some distinct nodes (`node`)."""
+        kind = self.rows.schema["id"].dataType.simpleString()
+        texts = self.rows.join(nodes, self.rows["id"] == nodes["node"]).drop("node")
+        return texts.mapInArrow(
+            partial(_list_sets, size=self.size), f"node {kind}, items array<long>"
+        ).filter(F.size("items") > 0)
+
     def _plausible(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose set sizes allow the similarity and whose sketches don't rule it out."""
         names = ["n", *(f"s{j}" for j in range(_SKETCH))]
@@ -216,9 +219,10 @@ def near_duplicates(
 
     Equal sets are one node, whatever the number of copies. In each bucket of a band all nodes
     are compared with its least one; then, in buckets that still hold several
-    components, one of each component is compared with one of them, and at last all pairs of
-    nodes from different components. Nodes of one component are never paired again, so a large
-    group costs a pair or two per member, and no pair that shares a bucket is left out.
+    components, one of each component is compared with one of them. What still is apart is
+    joined by its rarest shingles, which finds all similar pairs there without pairing whole
+    buckets. Nodes of one component are never paired again, so a large group costs a pair or two
+    per member.
 
     Null, empty and blank texts have no shingles, link with nothing and are kept. Rows with a
     null id take their group's component but never lead one; alone, their component is null and
@@ -267,7 +271,7 @@ def near_duplicates(
         mixed = scratch.keep(_open(busy.select("bucket", "node"), labels), "open")
         if mixed.isEmpty():
             break
-        labels = join_components(labels, matcher.links(pairs(mixed)), scratch)
+        labels = join_components(labels, matcher.links(pairs(mixed, matcher)), scratch)
 
     found = (
         signed.select("id", "n", "digest")
@@ -302,15 +306,40 @@ def _open(busy: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(several, "bucket")
 
 
-def _leaders(mixed: DataFrame) -> DataFrame:
+def _leaders(mixed: DataFrame, matcher: _Matcher) -> DataFrame:
     """One node of each component in a bucket, with that of one component."""
     leads = mixed.groupBy("bucket", "component").agg(F.max("node").alias("node"))
     hubs = leads.groupBy("bucket").agg(F.max("node").alias("hub"))
     return _pair("hub", "node", leads.join(hubs, "bucket"))
 
 
-def _across(mixed: DataFrame) -> DataFrame:
-    """All pairs of nodes that share a bucket and are of different components."""
-    other = mixed.select("bucket", F.col("node").alias("other"), F.col("component").alias("place"))
-    both = mixed.join(other, "bucket").filter("component < place")
-    return _pair("other", "node", both)
+def _across(mixed: DataFrame, matcher: _Matcher) -> DataFrame:
+    """Pairs of different components that may be similar enough, by their rarest shingles.
+
+    Two sets as similar as asked share one of the rarest items of each, in a common order of all
+    items; how many of the rarest follows from the size. Where the first shared item stands in
+    both bounds what they can share in all, so that common items bring few pairs.
+    """
+    percent, keep = matcher.percent, matcher.scratch.keep
+    place = mixed.select("node", "component").distinct()
+    sets = keep(matcher.sets(place.select("node")), "open-sets")
+    flat = sets.select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
+    several = flat.groupBy("item").agg(F.count("*").alias("used")).filter("used > 1")
+    ordered = F.sort_array(F.collect_list(F.struct(F.coalesce("used", F.lit(1)), "item")))
+    rarest = F.expr(f"n - cast((n * {percent} + 99) div 100 as int) + 1")
+    heads = (
+        flat.join(several, "item", "left")
+        .groupBy("node", "n")
+        .agg(ordered.alias("items"))
+        .select("node", "n", F.posexplode(F.slice("items", F.lit(1), rarest)).alias("at", "one"))
+        .filter("one.col1 > 1")
+        .select("node", "n", "at", "one.item")
+    )
+    heads = keep(heads.join(place, "node"), "heads")
+    other = heads.select("item", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "at", "component")))
+    most = F.least(F.col("n") - F.col("at"), F.col("o_n") - F.col("o_at"))
+    both = heads.join(other, "item").filter(
+        (F.col("component") < F.col("o_component"))
+        & (most * (100 + percent) >= percent * (F.col("n") + F.col("o_n")))
+    )
+    return _pair("o_node", "node", both)
