@@ -56,14 +56,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text (little-endian unsigned 32-bit), and whether they decode to it."""
     ship_package(spark)
-    own = docs.withColumn("_text", F.col("text"))
-    ids = bpe.encode(own, RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.decode(ids, RANKS, public_tokenizers.PATTERN)
-    same = F.col("decoded") == F.coalesce(F.col("row._text"), F.lit("")).cast("binary")
+    found = bpe.encode_checked(docs, RANKS, public_tokenizers.PATTERN)
     others = [F.col(f"row.`{c}`") for c in docs.columns if c != "text"]
-    return decoded.select(
-        *others, F.col("row._text").alias("text"), "n_tokens", "ids", same.alias("round_trip")
-    )
+    return found.select(*others, "text", "n_tokens", "ids", "round_trip")
 
 
 def _columns(docs: DataFrame) -> list:

@@ -368,3 +368,18 @@ def test_rarest_shingles_find_all_similar_pairs(spark):
     got = {tuple(r) for r in near_dup._across(mixed, matcher).distinct().collect()}
     scratch.drop()
     assert want <= got and len(got) < len(sets) * (len(sets) - 1) // 4
+
+
+def test_checked_encoding_equals_encode_and_decode(spark):
+    texts = [None, "", "a", "Straße 東京 \n" * 9000, "x" * 5000, "two  words"]
+    docs = spark.createDataFrame(
+        [(i, t, "e") for i, t in enumerate(texts)], "doc_id long, text string, ids string"
+    ).repartition(1)
+    ranks = P.path("byte_bpe_50k.tiktoken")
+    want = bpe.encode(docs, ranks, P.PATTERN).select("row.doc_id", "n_tokens", "ids").collect()
+    got = bpe.encode_checked(docs, ranks, P.PATTERN).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids) for r in want} == {
+        r.row.doc_id: (r.n_tokens, r.ids) for r in got
+    }
+    assert [r.text for r in sorted(got, key=lambda r: r.row.doc_id)] == texts
+    assert all(r.round_trip and r.row.ids == "e" for r in got)

@@ -20,6 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -160,6 +161,22 @@ def _decode(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str) -> Iter
             )
 
 
+def _round_trip(
+    batches: Iterator[pa.RecordBatch], ranks: str, pattern: str
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        done = 0
+        for part in _decode(_encode(iter([batch]), ranks, pattern), ranks, pattern):
+            row, count, ids, decoded = part.columns
+            own = batch.slice(done, len(part))
+            done += len(part)
+            same = pc.equal(own.column("text").cast(decoded.type), decoded)
+            yield pa.RecordBatch.from_arrays(
+                [row, own.column("absent"), own.column("text"), count, ids, same],
+                ["row", "absent", "text", "n_tokens", "ids", "round_trip"],
+            )
+
+
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, text_column: str = "text"
 ) -> DataFrame:
@@ -184,3 +201,30 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Add `decoded`, the bytes of `ids`, to rows of `encode`'s form; null ids have no bytes."""
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
     return encoded.mapInArrow(partial(_decode, ranks=ranks_path, pattern=pattern), schema)
+
+
+def encode_checked(
+    docs: DataFrame, ranks_path: str, pattern: str, text_column: str = "text"
+) -> DataFrame:
+    """`encode` with `text` and `round_trip`: whether the decoded ids are the text again.
+
+    A task encodes and decodes in the same Python worker, and a text enters and leaves it once. A
+    null text stays null; its ids are empty and it counts as decoded.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_column]
+    text = F.col(f"`{text_column}`").cast("string")
+    rows = docs.select(
+        F.struct(*others).alias("row"),
+        text.isNull().alias("absent"),
+        F.coalesce(text, F.lit("")).alias("text"),
+    )
+    schema = T.StructType(
+        [
+            *rows.schema.fields,
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids", T.BinaryType()),
+            T.StructField("round_trip", T.BooleanType()),
+        ]
+    )
+    found = rows.mapInArrow(partial(_round_trip, ranks=ranks_path, pattern=pattern), schema)
+    return found.withColumn("text", F.when(~F.col("absent"), F.col("text"))).drop("absent")
