@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradelake.functions.calendar import transaction_id
 from tradelake.functions.minutes import minute_index, nearest_minute
-from tradelake.operators.align import at_minute, lookup, minute_grid, symbol_table
+from tradelake.operators.align import at_minute, lookup, minute_grid
 
 
 def times(spark, *values):
@@ -76,10 +76,10 @@ def test_lookup_broadcasts_by_size_only(spark, sf):
 
 
 def test_symbols(spark):
-    symbols = symbol_table(spark)
-    assert symbols.count() == 20
-    per_exchange = {r.exchange: r["count"] for r in symbols.groupBy("exchange").count().collect()}
-    assert per_exchange == {"NASDAQ": 10, "NYSE": 10}
+    symbols = spark.createDataFrame(
+        [("AAPL", "NASDAQ", 150.0), ("KO", "NYSE", 55.0)],
+        "stock_symbol string, exchange string, base_price double",
+    )
     rows = spark.createDataFrame([("AAPL",), ("?",)], "stock_symbol string")
     prices = {r.stock_symbol: r.base_price for r in lookup(rows, symbols, "stock_symbol").collect()}
     assert prices == {"AAPL": 150.0, "?": None}

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import date
+import subprocess
+import sys
+import time
+from datetime import date, datetime
+from pathlib import Path
 
 import pytest
-from helpers import at, key_times, record
+from helpers import at, key_times, raw, record
 
 from tradelake import session
-from tradelake.functions.calendar import day_name
+from tradelake.functions.calendar import day_name, today
 from tradelake.operators.paging import envelopes
 from tradelake.operators.summaries import MARKET, SUMMARIES
 from tradelake.plans.daily import StageCounts, clean_days, ingest_day, report_days, run_day
@@ -55,8 +59,6 @@ def test_each_day_has_its_own_checkpoint_in_one_table(lake, send):
 
 
 def test_a_batch_written_again_replaces_itself(spark, lake, send):
-    from helpers import raw
-
     for _ in range(2):
         write_batch(raw(spark, record("a", at(20))), lake.raw_path, "t-0")
     write_batch(raw(spark, record("b", at(20))), lake.raw_path, "t-1")
@@ -97,7 +99,6 @@ def test_second_send_and_reused_ids(lake, send):
     run_day(lake, send.place, NEXT)
     assert len(raw_times(lake)) == 5
     assert key_times(lake.silver.read()) == [("a", at(21)), ("b", at(20))]
-    report_days(lake, (DAY, NEXT))
     volumes = {r.report_date: r.total_volume for r in lake.gold(MARKET).read().collect()}
     assert volumes == {DAY: 1, NEXT: 1}
 
@@ -159,5 +160,70 @@ def test_scratch_of_jobs_is_removed(spark, lake, send):
 
     send(DAY, record("a", at(20)))
     run_day(lake, send.place, DAY)
-    left = paths.child_names(spark, session.shared_dir(spark))
+    left = paths.child_names(spark, session.scratch_dir(spark))
     assert not [n for n in left if n.startswith(("updates-", "day-totals-", "replace-days-"))]
+
+
+def test_an_id_that_moves_leaves_its_old_day_empty(lake, send):
+    send(DAY, record("a", at(20), quantity=5))
+    run_day(lake, send.place, DAY)
+    send(NEXT, record("a", at(21), quantity=5))
+    assert run_day(lake, send.place, NEXT).days == {DAY, NEXT}
+    for summary in SUMMARIES:
+        assert [r.report_date for r in lake.gold(summary).read().collect()] == [NEXT]
+
+
+def test_report_from_a_source_takes_only_the_days_asked_for(lake, send):
+    send(DAY, record("a", at(20)), record("b", at(21)))
+    ingest_day(lake, send.place, DAY, "parquet")
+    report_days(lake, DAY, source=read_raw(lake.spark, lake.raw_path), mode="append")
+    assert [r.report_date for r in lake.gold(MARKET).read().collect()] == [DAY]
+
+
+def test_jobs_without_a_day_take_the_current_date(spark, lake, send):
+    now = today(spark)
+    ten = datetime(now.year, now.month, now.day, 10)
+    send(now, record("a", ten), record("old", at(20)))
+    assert run_day(lake, send.place) == StageCounts(1, 1, 1)
+    assert key_times(lake.silver.read()) == [("a", ten)]
+    report_days(lake, None)
+    assert [r.report_date for r in lake.gold(MARKET).read().collect()] == [now]
+
+
+def test_several_days_list_only_their_months(spark, lake):
+    rows = raw(spark, record("a", at(20)), record("b", at(21)), record("c", at(1, month=8)), record("d", at(1, month=9)))
+    write_batch(rows, lake.raw_path, "t-0")
+    ranged = read_raw(spark, lake.raw_path, (DAY, date(2025, 8, 1)))
+    assert key_times(ranged) == [("a", at(20)), ("b", at(21)), ("c", at(1, month=8))]
+    assert not [f for f in ranged.inputFiles() if "ts_month=9" in f]
+    some = read_raw(spark, lake.raw_path, frozenset({NEXT, date(2025, 9, 1)}))
+    assert key_times(some) == [("b", at(21)), ("d", at(1, month=9))]
+    assert not [f for f in some.inputFiles() if "ts_month=8" in f]
+    assert read_raw(spark, lake.raw_path, (date(2026, 1, 1), date(2026, 1, 2))).count() == 0
+    assert read_raw(spark, lake.raw_path, frozenset()).count() == 0
+
+
+def test_a_batch_of_many_tasks_gives_one_file_a_day(spark, lake):
+    rows = raw(spark, *(record(f"k{i}", at(20 + i % 2)) for i in range(80))).repartition(16)
+    write_batch(rows, lake.raw_path, "t-0")
+    assert len(read_raw(spark, lake.raw_path).inputFiles()) == 2
+
+
+def test_scratch_goes_with_the_application(tmp_path):
+    """Of copies that a returned frame still reads, none is left when the driver has ended."""
+    code = (
+        "from tradelake.operators.paging import page_slice, envelopes\n"
+        "from tradelake.session import get_session\n"
+        "from datetime import date\n"
+        f"s = get_session('t', 'local[1]', spark__ui__enabled='false', spark__sql__shuffle__partitions='2', spark__checkpoint__dir='{tmp_path}')\n"
+        "assert page_slice(s.range(3000), ['id'], 2000).count() == 100\n"
+        "assert envelopes(s.range(300), ['id'], date(2025, 1, 1)).count() == 3\n"
+    )
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120, capture_output=True)
+    for _ in range(100):  # the JVM ends a little after the driver's Python
+        left = [p for p in tmp_path.iterdir() if p.name.startswith("scratch-")]
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left

@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 from helpers import at, key_times, plan, raw, record
 from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import functions as F
 
 from tradelake import schemas
 from tradelake.operators.replace import append_rows, replace_days
@@ -223,3 +224,24 @@ def test_catalog_tables(spark, tmp_path):
     assert created == {s.table.name for s in SUMMARIES}
     with pytest.raises(UnsupportedOperationException, match="MERGE INTO"):
         merge_into_table(rows, "t_stocks.transactions", KEY)
+
+
+def test_rows_without_a_date_are_replaced_too(spark, market):
+    columns = market.schema
+    rows = spark.createDataFrame([(1, 2.0)], "v long, x double").select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in columns)
+    )
+    for _ in range(2):
+        replace_days(market, rows)
+    assert market.read().count() == 1
+    replace_days(market, rows, date(2025, 6, 20))
+    assert market.read().count() == 1
+
+
+def test_some_days_are_replaced_and_others_stay(spark, market):
+    rows = summarise(raw(spark, *(record(f"k{d}", at(d)) for d in (1, 2, 3))), MARKET)
+    append_rows(market, rows)
+    one = summarise(raw(spark, record("n", at(2), quantity=9)), MARKET)
+    replace_days(market, one, frozenset({date(2025, 6, 2), date(2025, 6, 3)}))
+    found = {r.report_date.day: r.total_volume for r in market.read().collect()}
+    assert found == {1: 1, 2: 9}

@@ -4,13 +4,27 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.schemas import DAY_PARTS
 
-# One day, an inclusive range of days, or None for the current date.
-Days = date | tuple[date, date] | None
+# One day, an inclusive range of days, some days, or None for the current date.
+Days = date | tuple[date, date] | frozenset[date] | None
+
+
+def today(spark: SparkSession) -> date:
+    """The current date in the session's time zone."""
+    return spark.range(1).select(F.current_date()).first()[0]
+
+
+def among(day: Column, days: date | tuple[date, date] | frozenset[date]) -> Column:
+    """Whether a date is one of the days; NULL for a NULL date."""
+    if isinstance(days, tuple):
+        return day.between(*map(F.lit, days))
+    if isinstance(days, frozenset):
+        return day.isin(sorted(days))
+    return day == F.lit(days)
 
 
 def day_parts(ts: str) -> dict[str, Column]:
@@ -24,12 +38,13 @@ def on_days(days: Days) -> Column:
     if days is None:
         today = F.current_date()
         return (year == F.year(today)) & (month == F.month(today)) & (day == F.day(today))
-    if isinstance(days, tuple):
-        first, last = days
-        # The year bounds let a store drop whole years before it evaluates the date.
-        return year.between(first.year, last.year) & F.make_date(year, month, day).between(
-            F.lit(first), F.lit(last)
-        )
+    if not isinstance(days, date):
+        # The years let a store drop whole years before it evaluates the date.
+        if isinstance(days, tuple):
+            years = year.between(days[0].year, days[1].year)
+        else:
+            years = year.isin(sorted({d.year for d in days}))
+        return years & among(F.make_date(year, month, day), days)
     return (year == days.year) & (month == days.month) & (day == days.day)
 
 

@@ -7,38 +7,42 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.session import stage
-from tradelake.sources import paths
+from tradelake.functions.calendar import among
+from tradelake.session import staged
 from tradelake.sources.versioned import VersionedTable
 
 DAY = "report_date"
 
 
 def replace_days(
-    table: VersionedTable, rows: DataFrame, days: date | tuple[date, date] | None = None
+    table: VersionedTable, rows: DataFrame, days: date | tuple[date, date] | frozenset[date] | None = None
 ) -> int:
     """Make `rows` the only rows of their days; other days of the same month stay.
 
     `days` names the days to replace, so that a day without any new row is emptied, and rows of
-    other days are left out. Without it, the days that occur in `rows` are replaced.
+    other days or without a date are left out. Without it, the days that occur in `rows` are
+    replaced; rows without a date count as a day of their own.
     """
     columns = table.schema.fieldNames()
     if days is None:
-        staged, path = stage(rows, "replace-days")
-        try:
-            touched = table.distinct_partitions(staged)
-            other = table.read(touched).join(staged.select(DAY).distinct(), DAY, "left_anti")
-            return table.replace_partitions(other.select(columns).unionByName(staged), touched)
-        finally:
-            paths.remove(rows.sparkSession, path)
-    first, last = days if isinstance(days, tuple) else (days, days)
-    months = (first.year, first.month), (last.year, last.month)
-    touched = {p for p in table.partitions() if None not in p and months[0] <= p <= months[1]}
-    inside = F.coalesce(F.col(DAY).between(F.lit(first), F.lit(last)), F.lit(False))
+        with staged(rows, "replace-days") as new:
+            touched = table.distinct_partitions(new)
+            dates = new.select(F.col(DAY).alias("_day")).distinct()
+            other = table.read(touched).join(dates, F.col(DAY).eqNullSafe(F.col("_day")), "left_anti")
+            return table.replace_partitions(other.select(columns).unionByName(new), touched)
+    touched = {p for p in table.partitions() if None not in p and _in_month(p, days)}
+    inside = F.coalesce(among(F.col(DAY), days), F.lit(False))
     merged = table.read(touched).filter(~inside).unionByName(rows.filter(inside))
     return table.replace_partitions(merged, touched)
 
 
+def _in_month(month: tuple[int, int], days: date | tuple[date, date] | frozenset[date]) -> bool:
+    if isinstance(days, tuple):
+        first, last = days
+        return (first.year, first.month) <= month <= (last.year, last.month)
+    return month in {(d.year, d.month) for d in ([days] if isinstance(days, date) else days)}
+
+
 def append_rows(table: VersionedTable, rows: DataFrame) -> int:
     """Add `rows` as they are: running it twice gives two rows per key."""
     return table.append(rows)

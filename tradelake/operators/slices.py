@@ -13,5 +13,5 @@ def to_raw(records: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 
 def day_slice(df: DataFrame, days: Days = None) -> DataFrame:
-    """Rows of one day, of a range of days, or (None) of the current date."""
+    """Rows of one day, of a range of days, of some days, or (None) of the current date."""
     return df.filter(on_days(days))

@@ -9,13 +9,13 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.sources.versioned import VersionedTable
+from tradelake.sources.versioned import Partition, VersionedTable
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
     """`target` without the rows whose key is in `updates`, plus `updates`.
 
-    `updates` must have one row per key. A NULL key matches nothing, so such target rows go past
+    `updates` must have one row per key, and is read twice: stage it if it is costly. A NULL key matches nothing, so such target rows go past
     the join: they are read by a separate filter and are never shuffled, however many there are.
     """
     has_null = reduce(or_, (F.col(c).isNull() for c in key))
@@ -24,8 +24,10 @@ def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFra
     return unmatched.unionByName(updates.select(target.columns))
 
 
-def upsert_into(table: VersionedTable, updates: DataFrame, key: Sequence[str]) -> int:
-    """Upsert into a versioned table, rewriting only the partitions that change.
+def upsert_into(
+    table: VersionedTable, updates: DataFrame, key: Sequence[str]
+) -> set[Partition]:
+    """Upsert into a versioned table; gives the partitions that change, no other is rewritten.
 
     `updates` is used several times and should be a staged table. A key that does not include the
     partition columns can sit in any partition: a scan of just the key column finds which ones.
@@ -35,7 +37,8 @@ def upsert_into(table: VersionedTable, updates: DataFrame, key: Sequence[str]) -
         columns = dict.fromkeys([*key, *table.partition_by])
         held = table.read().select(*columns).join(updates.select(*key), list(key), "left_semi")
         touched |= table.distinct_partitions(held)
-    return table.replace_partitions(upsert(table.read(touched), updates, key), touched)
+    table.replace_partitions(upsert(table.read(touched), updates, key), touched)
+    return touched
 
 
 def merge_into_table(updates: DataFrame, table: str, key: Sequence[str]) -> None:

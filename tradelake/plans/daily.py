@@ -4,28 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.functions.calendar import day_name
+from tradelake.functions.calendar import Days, day_name, today
 from tradelake.operators.dedup import latest_per_key
 from tradelake.operators.quality import TRADE_RULES, Rule, clean, passes
 from tradelake.operators.replace import append_rows, replace_days
+from tradelake.operators.slices import day_slice
 from tradelake.operators.summaries import SUMMARIES, Summary, day_totals, roll_up
 from tradelake.operators.upsert import upsert_into
 from tradelake.schemas import BRONZE, SILVER
-from tradelake.session import stage
-from tradelake.sources import messages, paths
+from tradelake.session import staged
+from tradelake.sources import messages
 from tradelake.sources.raw import read_raw
 from tradelake.sources.versioned import VersionedTable
 from tradelake.streaming.ingest import ingest_available
 
-# One day or an inclusive range; the jobs never read the clock.
-RunDays = date | tuple[date, date]
-
 
 @dataclass(frozen=True)
 class Lake:
@@ -54,10 +52,15 @@ class StageCounts:
     rows_read: int
     rows_clean: int
     rows_deduplicated: int
+    # Days whose cleaned rows changed, also those that an id moved away from.
+    days: frozenset[date] = field(default=frozenset(), compare=False)
 
 
-def ingest_day(lake: Lake, place: str, day: date, fmt: str = "parquet", **options: str) -> dict:
-    """Append what the day's topic holds and the checkpoint has not seen."""
+def ingest_day(
+    lake: Lake, place: str, day: date | None = None, fmt: str = "parquet", **options: str
+) -> dict:
+    """Append what the day's topic holds and the checkpoint has not seen; today's without a day."""
+    day = day or today(lake.spark)
     topic = day_name(day)
     stream = messages.read_stream(lake.spark, place, topic, fmt, **options)
     return ingest_available(stream, lake.raw_path, lake.checkpoint(day), topic)
@@ -65,37 +68,35 @@ def ingest_day(lake: Lake, place: str, day: date, fmt: str = "parquet", **option
 
 def clean_days(
     lake: Lake,
-    days: RunDays,
+    days: Days,
     key: Sequence[str] = ("transaction_id",),
     rules: Sequence[Rule] = TRADE_RULES,
 ) -> StageCounts:
-    """Raw rows of the days: filtered, one row per key, upserted into the cleaned table."""
+    """Raw rows of the days (None: today), filtered, one row per key, upserted into the cleaned table."""
     rows = read_raw(lake.spark, lake.raw_path, days)
     read, kept = rows.agg(F.count(F.lit(1)), F.count_if(passes(rules))).first()
     if read == 0:
         return StageCounts(0, 0, 0)
-    updates, path = stage(latest_per_key(clean(rows, rules), key), "updates")
-    try:
+    with staged(latest_per_key(clean(rows, rules), key), "updates") as updates:
         deduplicated = updates.count()
-        if deduplicated:
-            upsert_into(lake.silver, updates, key)
-    finally:
-        paths.remove(lake.spark, path)
-    return StageCounts(read, kept, deduplicated)
+        touched = upsert_into(lake.silver, updates, key) if deduplicated else set()
+    changed = frozenset(date(*parts) for parts in touched if None not in parts)
+    return StageCounts(read, kept, deduplicated, changed)
 
 
-def silver_days(lake: Lake, days: RunDays) -> DataFrame:
+def silver_days(lake: Lake, days: Days) -> DataFrame:
     """Cleaned rows of the days, opening only their partitions."""
-    first, last = days if isinstance(days, tuple) else (days, days)
     silver = lake.silver
-    bounds = [(d.year, d.month, d.day) for d in (first, last)]
-    wanted = [p for p in silver.partitions() if None not in p and bounds[0] <= p <= bounds[1]]
-    return silver.read(wanted)
+    dated = {p: date(*p) for p in silver.partitions() if None not in p}
+    if isinstance(days, tuple):
+        return silver.read([p for p, day in dated.items() if days[0] <= day <= days[1]])
+    some = days if isinstance(days, frozenset) else {days or today(lake.spark)}
+    return silver.read([p for p, day in dated.items() if day in some])
 
 
 def report_days(
     lake: Lake,
-    days: RunDays,
+    days: Days,
     source: DataFrame | None = None,
     mode: str = "replace_day",
     summaries: Sequence[Summary] = SUMMARIES,
@@ -103,15 +104,11 @@ def report_days(
     """Write the daily summaries from one shared scan of the cleaned (or another) table.
 
     `replace_day` can be repeated; `append` adds the day's rows again on every run. Rows of other
-    days in `source`, and those without a time, are left out.
+    days in `source`, and those without a time, are left out. None stands for the current date.
     """
-    if source is None:
-        rows = silver_days(lake, days)
-    else:
-        first, last = days if isinstance(days, tuple) else (days, days)
-        rows = source.filter(F.to_date("ts").between(F.lit(first), F.lit(last)))
-    totals, path = stage(day_totals(rows), "day-totals")
-    try:
+    days = today(lake.spark) if days is None else days
+    rows = silver_days(lake, days) if source is None else day_slice(source, days)
+    with staged(day_totals(rows), "day-totals") as totals:
 
         def write(summary: Summary) -> int:
             table, report = lake.gold(summary), roll_up(totals, summary)
@@ -122,14 +119,18 @@ def report_days(
         # Small independent jobs: submitted together, they share the cluster.
         with ThreadPoolExecutor(len(summaries)) as pool:
             list(pool.map(write, summaries))
-    finally:
-        paths.remove(lake.spark, path)
 
 
-def run_day(lake: Lake, place: str, day: date, fmt: str = "parquet") -> StageCounts:
-    """All steps for one day; safe to run again."""
+def run_day(
+    lake: Lake, place: str, day: date | None = None, fmt: str = "parquet"
+) -> StageCounts:
+    """All steps for one day (today without one); safe to run again.
+
+    Days that an id moved away from are reported anew as well.
+    """
+    day = day or today(lake.spark)
     ingest_day(lake, place, day, fmt)
     counts = clean_days(lake, day)
     if counts.rows_read:
-        report_days(lake, day)
+        report_days(lake, counts.days | {day})
     return counts

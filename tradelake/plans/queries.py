@@ -17,10 +17,20 @@ from tradelake.operators.paging import envelopes, page_listing, page_slice, page
 from tradelake.operators.quality import clean, stage_counts
 from tradelake.operators.replace import append_rows, replace_days
 from tradelake.operators.slices import day_slice, to_raw
-from tradelake.operators.summaries import EXCHANGE, MARKET, ORDER_TYPE, STOCK, Summary, summarise
+from tradelake.operators.summaries import (
+    EXCHANGE,
+    MARKET,
+    ORDER_TYPE,
+    STOCK,
+    SUMMARIES,
+    Summary,
+    day_totals,
+    roll_up,
+    summarise,
+)
 from tradelake.operators.upsert import upsert, upsert_into
 from tradelake.plans.daily import Lake, clean_days, ingest_day, report_days
-from tradelake.session import scratch_path, stage
+from tradelake.session import scratch_path, stage, staged
 from tradelake.sources import catalog, messages
 from tradelake.sources.day_files import read_day_file, write_day_file
 from tradelake.sources.raw import read_raw
@@ -91,19 +101,20 @@ def _two_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 
 def silver_upsert(spark: SparkSession, folder: str) -> DataFrame:
     early, late = _two_batches(spark, folder)
-    return upsert(early, late, KEY)
+    return upsert(early, stage(late, "updates")[0], KEY)
 
 
 def silver_upsert_reversed(spark: SparkSession, folder: str) -> DataFrame:
     early, late = _two_batches(spark, folder)
-    return upsert(late, early, KEY)
+    return upsert(late, stage(early, "updates")[0], KEY)
 
 
 def silver_table_upsert(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "silver-table")
     silver_table = VersionedTable.of(spark, root, schemas.SILVER)
     for batch in _two_batches(spark, folder):
-        upsert_into(silver_table, stage(batch, "updates")[0], KEY)
+        with staged(batch, "updates") as updates:
+            upsert_into(silver_table, updates, KEY)
     return silver_table.read()
 
 
@@ -141,22 +152,22 @@ def _day_bounds(rows: DataFrame, column: str, inside: date) -> tuple[date, date]
 
 def gold_append_twice(spark: SparkSession, folder: str) -> DataFrame:
     market = _gold_table(spark, MARKET)
-    rows, _ = stage(summarise(silver(spark, folder), MARKET), "market")
-    for _ in range(2):
-        append_rows(market, rows)
+    with staged(summarise(silver(spark, folder), MARKET), "market") as rows:
+        for _ in range(2):
+            append_rows(market, rows)
     return _rounded(market.read())
 
 
 def gold_replace_day(spark: SparkSession, folder: str) -> DataFrame:
     """Summaries of the raw rows first, then each half of the days replaced, the last one twice."""
     market = _gold_table(spark, MARKET)
-    rows, _ = stage(summarise(silver(spark, folder), MARKET), "market")
     append_rows(market, summarise(bronze(spark, folder), MARKET))
     cut = date(1998, 7, 15)
-    first, last = _day_bounds(rows, "report_date", cut)
-    replace_days(market, rows.filter(F.col("report_date") < F.lit(cut)), (first, date(1998, 7, 14)))
-    for _ in range(2):
-        replace_days(market, rows.filter(F.col("report_date") >= F.lit(cut)), (cut, last))
+    with staged(summarise(silver(spark, folder), MARKET), "market") as rows:
+        first, last = _day_bounds(rows, "report_date", cut)
+        replace_days(market, rows.filter(F.col("report_date") < F.lit(cut)), (first, date(1998, 7, 14)))
+        for _ in range(2):
+            replace_days(market, rows.filter(F.col("report_date") >= F.lit(cut)), (cut, last))
     return _rounded(market.read())
 
 
@@ -170,8 +181,9 @@ def ddl_tables(spark: SparkSession, folder: str) -> DataFrame:
     raw = spark.table(catalog.table_name(schemas.BRONZE, prefix))
     catalog.append_to(latest_per_key(clean(raw), KEY), schemas.SILVER, prefix)
     cleaned = spark.table(catalog.table_name(schemas.SILVER, prefix))
-    for summary in (MARKET, STOCK, ORDER_TYPE, EXCHANGE):
-        catalog.append_to(summarise(cleaned, summary), summary.table, prefix)
+    with staged(day_totals(cleaned), "day-totals") as totals:
+        for summary in SUMMARIES:
+            catalog.append_to(roll_up(totals, summary), summary.table, prefix)
     counts = None
     for spec in schemas.TABLES:
         filled = spark.table(catalog.table_name(spec, prefix))
@@ -182,7 +194,9 @@ def ddl_tables(spark: SparkSession, folder: str) -> DataFrame:
             F.count_distinct(parts).alias("partition_count"),
         )
         counts = count if counts is None else counts.unionByName(count)
-    return counts
+    rows, _ = stage(counts, "counts")
+    catalog.drop_databases(spark, prefix=prefix)
+    return rows
 
 
 # -- events: pages, messages, streams, files
@@ -290,7 +304,8 @@ def symbol_lookup(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     rows = clean(bronze(spark, folder)).select("transaction_id", "ts", "stock_symbol", "price", "quantity")
-    return lookup(rows, symbols, "stock_symbol")
+    # Staged, the few symbols have a size that the planner knows.
+    return lookup(rows, stage(symbols, "symbols")[0], "stock_symbol")
 
 
 # -- all steps

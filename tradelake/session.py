@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradelake.sources import paths
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -40,22 +44,40 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{tempfile.gettempdir()}/tradelake-scratch"
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it goes when the application ends."""
+    path = f"{shared_dir(spark)}/scratch-{spark.sparkContext.applicationId}"
+    paths.make_passing_dir(spark, path)
+    return path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the application's scratch folder."""
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write `df` once as Parquet in the shared folder and read it back.
 
     Later uses scan only the columns they need, the planner sees the true size, and the rows
-    outlive lost executors. The caller removes the path when it is done with it.
+    outlive lost executors. The caller removes the path when it is done with it; what a returned
+    DataFrame still reads stays until the application ends.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """`stage` for rows that nothing reads after the block."""
+    rows, path = stage(df, label)
+    try:
+        yield rows
+    finally:
+        paths.remove(df.sparkSession, path)
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows of a schema, in a form whose size the planner knows."""
     return spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

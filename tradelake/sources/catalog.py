@@ -42,6 +42,14 @@ def create_tables(
         spark.sql(create_table_sql(spec, prefix, using))
 
 
+def drop_databases(
+    spark: SparkSession, specs: Iterable[TableSpec] = TABLES, prefix: str = ""
+) -> None:
+    """Drop the databases of the tables, with all that is in them."""
+    for database in dict.fromkeys(f"{prefix}{spec.database}" for spec in specs):
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def append_to(df: DataFrame, spec: TableSpec, prefix: str = "") -> None:
     """INSERT INTO a partitioned table, whose partition columns come last in its schema."""
     rows = df.select(df.sparkSession.table(table_name(spec, prefix)).columns)

@@ -33,6 +33,14 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot rename {path} to {to}")
 
 
+def make_passing_dir(spark: SparkSession, path: str) -> None:
+    """Make a folder that the file system removes when the driver ends."""
+    fs, jpath = _resolve(spark, path)
+    if not fs.exists(jpath):
+        fs.mkdirs(jpath)
+        fs.deleteOnExit(jpath)
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, jpath = _resolve(spark, path)
     fs.mkdirs(jpath)

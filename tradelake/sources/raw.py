@@ -9,18 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.functions.calendar import Days, on_days
+from tradelake.functions.calendar import Days, on_days, today
 from tradelake.schemas import DAY_PARTS, RAW
 from tradelake.session import empty
+from tradelake.sources import paths
 
 # Innermost partition column: which stream and batch a folder came from. Not part of the table.
 BATCH = "ingest"
 
 
 def write_batch(rows: DataFrame, path: str, batch: str) -> None:
-    """Write one batch so that writing it again replaces it instead of adding to it."""
+    """Write one batch so that writing it again replaces it instead of adding to it.
+
+    A day's rows are gathered into files of the advisory size, a hot day's over several tasks.
+    """
     (
-        rows.withColumn(BATCH, F.lit(batch))
+        rows.hint("rebalance", *DAY_PARTS)
+        .withColumn(BATCH, F.lit(batch))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*DAY_PARTS, BATCH)
@@ -34,16 +39,43 @@ def read_raw(
     days: Days | str = "all",
     schema: T.StructType = RAW,
 ) -> DataFrame:
-    """Raw rows of the given days. A single day lists only its own folder."""
-    folder = path
+    """Raw rows of the given days. A day lists only its own folder, several days those of their months."""
+    if days is None:
+        days = today(spark)
+    folders = [path]
     if isinstance(days, date):
-        folder = f"{path}/ts_year={days.year}/ts_month={days.month}/ts_day={days.day}"
+        folders = [f"{path}/ts_year={days.year}/ts_month={days.month}/ts_day={days.day}"]
+    elif days != "all":
+        folders = _month_folders(spark, path, days)
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
     try:
-        df = spark.read.schema(full).option("basePath", path).parquet(folder)
+        reader = spark.read.schema(full).option("basePath", path)
+        df = reader.parquet(*folders) if folders else empty(spark, full)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         df = empty(spark, full)
     rows = df.select(schema.fieldNames())
     return rows if days == "all" else rows.filter(on_days(days))
+
+
+def _month_folders(
+    spark: SparkSession, path: str, days: tuple[date, date] | frozenset[date]
+) -> list[str]:
+    """Existing month folders that may hold rows of the days."""
+
+    def numbers(folder: str, part: str) -> list[int]:
+        names = (n.partition("=") for n in paths.child_names(spark, folder))
+        return [int(value) for name, _, value in names if name == part and value.isdigit()]
+
+    first, last = (min(days), max(days)) if days else (date.max, date.min)
+    single = None if isinstance(days, tuple) else {(d.year, d.month) for d in days}
+    year_part, month_part, _ = DAY_PARTS
+    return [
+        f"{path}/{year_part}={year}/{month_part}={month}"
+        for year in numbers(path, year_part)
+        if first.year <= year <= last.year
+        for month in numbers(f"{path}/{year_part}={year}", month_part)
+        if (first.year, first.month) <= (year, month) <= (last.year, last.month)
+        and (single is None or (year, month) in single)
+    ]
