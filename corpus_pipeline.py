@@ -45,12 +45,19 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of a benchmark item; a null id goes if one of them has one."""
+    """Documents without any passage of a benchmark item, judged row by row whatever their ids.
+
+    What a row holds depends on its text alone, so the verdict comes back by the text's hash.
+    """
     ship_package(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontam.find_contamination(docs, items)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.unhex(F.sha2(text, 256))
+    found = decontam.find_contamination(
+        docs.select(key.alias("key"), text.alias("text")), items, id_column="key"
+    )
     hit = found.filter("n_hit > 0").select(F.col("id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit"]), "left_anti")
+    return docs.join(hit, key == hit["_hit"], "left_anti")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

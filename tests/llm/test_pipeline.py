@@ -42,3 +42,18 @@ def test_pipeline_on_odd_documents(spark, sf, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf).count() == 0
         assert stage(spark, docs, sf).count() >= 0
+
+
+def test_decontamination_keeps_clean_rows_of_a_contaminated_id(spark, sf):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    passage = next(t for i, t in items if i is not None and len((t or "").split()) > 20)
+    bad, clean = f"before {passage} after", "nothing of any benchmark is in this text"
+    docs = [
+        (None, bad), (None, clean), (None, clean), (None, None), (None, ""),
+        (7, clean), (7, bad), (7, f"{clean} at all"), (8, bad), (9, None),
+    ]
+    wanted = [d for d in docs if d[1] != bad]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("_hit", F.lit(1))
+    made = corpus_pipeline.decontaminate(spark, df, sf)
+    assert made.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in made.collect()), key=str) == sorted(wanted, key=str)
