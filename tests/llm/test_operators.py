@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tradelake.llm import (
@@ -287,6 +288,40 @@ def test_token_files_round_trip(spark):
     assert token_files.read_tokens(spark, folder, df).count() == 0
 
 
+def test_token_files_give_added_tokens_their_ids(spark):
+    library = Tokenizer.from_file(TOKENIZER)
+    rnd = random.Random(7)
+    parts = [*"a .<|>", "<|endoftext|>", "<|endof", "text|>", " word", "\n", "é", "\r"]
+    rows = [(i, "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))) for i in range(800)]
+    rows += [(800, "a <|endoftext|> b"), (801, "end <|endof"), (802, "text|> begin")]
+    data, offsets = [t.encode() for _, t in rows], np.cumsum([0] + [len(t.encode()) for _, t in rows])
+    flat = np.frombuffer(b"".join(data), np.uint8)
+    ids, counts = token_files.PieceTokenizer(TOKENIZER).encode(flat, offsets)
+    wanted = [library.encode(t, add_special_tokens=False).ids for _, t in rows]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wanted
+    assert [64, 220, 50256, 275] in wanted
+    folder = Scratch(spark, "tokens-test").path("added")
+    df = spark.createDataFrame(rows, SCHEMA)
+    token_files.write_tokens(df, folder, TOKENIZER, shard_number=2)
+    found = token_files.read_tokens(spark, folder, df).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in found} == {
+        i: [*own, token_files.END_ID] for (i, _), own in zip(rows, wanted)
+    }
+
+
+def test_pieces_of_several_texts_make_no_added_token(tmp_path):
+    library = Tokenizer.from_file(TOKENIZER)
+    library.add_special_tokens([" so it is"])
+    library.save(str(tmp_path / "own.json"))
+    texts = [" so", "x it", "x is", "x so it is"]
+    raw = [t.encode() for t in texts]
+    flat = np.frombuffer(b"".join(raw), np.uint8)
+    own = token_files.PieceTokenizer(str(tmp_path / "own.json"))
+    ids, counts = own.encode(flat, np.cumsum([0] + [len(r) for r in raw]))
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wanted
+
+
 # -- 9
 
 

@@ -47,7 +47,7 @@ _MANIFEST = (
 # -- tokenizing
 
 # White space that takes more than a look at single bytes; texts with any of these
-# bytes are tokenized in one piece.
+# bytes, or with an added token such as <|endoftext|>, are tokenized in one piece.
 _ODD = np.zeros(256, bool)
 _ODD[[0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _SPACE = np.zeros(256, bool)
@@ -68,7 +68,8 @@ class PieceTokenizer:
 
     def __init__(self, path: str):
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
+        added = self._library.get_added_tokens_decoder().values()
+        self._added = [t.content.encode() for t in added if t.content]
         vocabulary = self._library.get_vocab()
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         # Each character of a byte-level token is one byte.
@@ -93,8 +94,12 @@ class PieceTokenizer:
         runs = [i for i, p in enumerate(pieces) if _SPACE[p[0]] and not _SPACE[p[-1]]]
         rest = sorted(set(range(len(pieces))).difference(runs))
         ids: list[np.ndarray] = [None] * len(pieces)
+        text = b"".join(pieces[i] for i in runs)
+        if any(token in text for token in self._added):
+            # No piece has an added token of its own, but pieces of other texts may make up one.
+            runs, rest = [], range(len(pieces))
         if runs:
-            (joined,) = self._whole([b"".join(pieces[i] for i in runs)])
+            (joined,) = self._whole([text])
             ends = np.cumsum(self._sizes[joined])
             cuts = np.searchsorted(ends, np.cumsum([len(pieces[i]) for i in runs]), "left") + 1
             for i, own in zip(runs, np.split(joined, cuts[:-1])):
@@ -108,12 +113,28 @@ class PieceTokenizer:
         self._counts = np.concatenate([self._counts, counts])
         self._ids = np.concatenate([self._ids, *ids])
 
+    def _quoting(self, raw: bytes, offsets: np.ndarray) -> set[int]:
+        """Rows whose text contains an added token."""
+        rows = set()
+        for token in self._added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + len(token) <= offsets[row + 1]:
+                    rows.add(row)
+                    at = raw.find(token, int(offsets[row + 1]))
+                else:
+                    at = raw.find(token, at + 1)
+        return rows
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of a slice of texts, and the number of ids of each."""
         rows = len(offsets) - 1
+        raw = data.tobytes()
         odd = np.zeros(len(data) + 1, np.int64)
         np.cumsum(_ODD[data], out=odd[1:])
         odd_rows = np.flatnonzero(odd[offsets[1:]] > odd[offsets[:-1]])
+        odd_rows = np.array(sorted(self._quoting(raw, offsets).union(odd_rows.tolist())), np.int64)
         first = np.zeros(len(data), bool)
         first[1:] = (_SPACE[data[1:]] & ~_SPACE[data[:-1]]) | (_MARK[data[1:]] & _LETTER[data[:-1]])
         first[offsets[:-1][np.diff(offsets) > 0]] = True
@@ -132,7 +153,6 @@ class PieceTokenizer:
             at = np.empty(len(distinct), np.int64)
             at[code[::-1]] = np.arange(len(code))[::-1]
             new = [i for i, k in enumerate(known) if k is None]
-            raw = data.tobytes()
             spans = zip(begin[at[new]].tolist(), end[at[new]].tolist())
             self._learn(distinct[new].tolist(), [raw[b:e] for b, e in spans])
             known = list(map(self._known.get, distinct.tolist()))
@@ -144,9 +164,9 @@ class PieceTokenizer:
         per_row = np.bincount(row, weights=counts, minlength=rows).astype(np.int64)
         if not len(odd_rows):
             return ids, per_row
-        raw = [data[offsets[i] : offsets[i + 1]].tobytes() for i in odd_rows]
+        whole = [raw[offsets[i] : offsets[i + 1]] for i in odd_rows]
         parts = np.split(ids, np.cumsum(per_row)[:-1])
-        for i, own in zip(odd_rows, self._whole(raw)):
+        for i, own in zip(odd_rows, self._whole(whole)):
             parts[i] = own
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
