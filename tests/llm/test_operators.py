@@ -145,6 +145,18 @@ def test_suffix_dedup_keeps_characters_whole_and_takes_no_rows(spark):
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_suffix_dedup_lists_spans_of_repeated_rows_once(spark):
+    rnd = random.Random(4)
+    text = "".join(rnd.choice("abcdef ") for _ in range(1500))
+    docs = [(None, text)] * 3000 + [(1, text)] * 1000 + [(2, "short")]
+    df = spark.createDataFrame(docs, SCHEMA)
+    spans = suffix_dedup.repeated_spans(df).collect()
+    assert len(spans) == 2 and all(len(r.spans) == len(set(r.spans)) for r in spans)
+    cut = suffix_dedup.remove_repeats(df)
+    got = {tuple(r) for r in cut.select("row.doc_id", F.length("kept"), F.size("spans")).collect()}
+    assert cut.count() == len(docs) and got == {(None, 0, 1), (1, 0, 1), (2, 5, 0)}
+
+
 # -- 4
 
 

@@ -328,7 +328,8 @@ def repeated_spans(
         .select("id", "tag", "begin", (F.col("begin") + F.lit(length)).alias("end"))
     )
     spans = plain.union(same).union(single)
-    spans = spans.groupBy("tag", "id").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    # Rows that repeat an id and a text find the same spans: as a set, they are bounded by one text.
+    spans = spans.groupBy("tag", "id").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     spans = scratch.keep(spans, "spans")
     scratch.drop(found_path)
     scratch.drop(windows_path)
