@@ -22,14 +22,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the least id.
+    """One document of each group of near duplicates: that with the least id, or any if none has one.
 
-    Of rows that repeat an id and a text one stays; a null id stays if nothing of its group has one.
+    Groups are judged row by row, so rows that share an id, or have none, stay or go by their texts.
+    Of blank texts, which are in no group, one stays of rows that repeat an id and a text.
     """
     ship_package(spark)
-    groups = near_dup.near_duplicates(docs, shingle=SHINGLE, percent=PERCENT)
-    kept = groups.filter("kept").select(F.col("id").alias("_kept")).distinct()
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    stay = near_dup.leading_rows(docs, shingle=SHINGLE, percent=PERCENT)
     return stay.dropDuplicates(["doc_id", "text"])
 
 

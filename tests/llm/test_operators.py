@@ -387,6 +387,40 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert all(r.kept == (r.component_id is None or r.id == r.component_id) for r in found)
 
 
+def null_id_groups():
+    """Near copies whose rows have no id, or share one; each list is a group."""
+
+    def near(name, *changed):
+        return " ".join(f"{name}{'x' if i in changed else ''}{i}" for i in range(60))
+
+    return [
+        [(10, near("a")), (None, near("a", 59)), (None, near("a", 58, 59)), (None, near("a", 59))],
+        [(None, near("b")), (None, near("b", 59)), (None, near("b", 0))],
+        # The first and the last are apart but for the text between them.
+        [(21, near("c")), (None, near("c", 0, 1, 2)), (20, near("c", 0, 1, 2, 57, 58, 59))],
+        [(30, near("d")), (31, near("d", 59))],
+        [(30, near("e")), (30, near("e", 59)), (None, near("e", 0))],
+        [(None, near("f"))],
+    ]
+
+
+def test_rows_without_id_link_like_all_others(spark):
+    groups = null_id_groups()
+    docs = [d for g in groups for d in g]
+    df = spark.createDataFrame(docs, SCHEMA).repartition(5)
+    found = near_dup.near_duplicates(df).collect()
+    got = [(r.id, r.n_shingles, r.component_id) for r in found]
+    assert by_text(got) == by_text(brute.near_duplicates(docs, 5))
+    kept = [r.id for r in found if r.kept]
+    assert by_text(kept) == by_text([10, None, 20, 30, 30, 30, None])
+    assert all(r.kept == (r.id == r.component_id) for r in found if r.component_id is not None)
+    made = near_dup.leading_rows(df.withColumn("own", F.lit("x")))
+    assert made.columns == ["doc_id", "text", "own"]
+    rows = [(r.doc_id, r.text) for r in made.collect()]
+    assert len(rows) == len(groups) and [sum(r in g for r in rows) for g in groups] == [1] * len(groups)
+    assert by_text(r[0] for r in rows) == by_text([10, None, 20, 30, 30, None])
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -4,6 +4,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from tests.llm import brute
+from tests.llm.test_operators import null_id_groups
 
 
 def test_stages_equal_plain_versions(spark, sf, tmp_path):
@@ -57,3 +58,12 @@ def test_decontamination_keeps_clean_rows_of_a_contaminated_id(spark, sf):
     made = corpus_pipeline.decontaminate(spark, df, sf)
     assert made.columns == df.columns
     assert sorted(((r.doc_id, r.text) for r in made.collect()), key=str) == sorted(wanted, key=str)
+
+
+def test_near_duplicate_stage_judges_rows_without_id(spark, sf):
+    groups = null_id_groups()
+    docs = [d for g in groups for d in g] + [(None, None), (None, None), (5, " "), (5, " ")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("row", F.lit(1))
+    rows = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, df, sf).collect()]
+    assert [sum(r in g for r in rows) for g in groups] == [1] * len(groups)
+    assert len(rows) == len(groups) + 2 and rows.count((None, None)) == rows.count((5, " ")) == 1

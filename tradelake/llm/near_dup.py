@@ -123,13 +123,14 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
             filled = count > 0
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("row").slice(first, rows),
                     batch.column("id").slice(first, rows),
                     pa.array(count.astype(np.int64)),
                     pa.array([_digest(s) for s in sets], pa.binary()),
                     *(pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(_SKETCH)),
                     tb.ragged(tb.signed(bands[filled].ravel()), filled * BANDS, pa.int64()),
                 ],
-                ["id", "n", "digest", *(f"s{j}" for j in range(_SKETCH)), "bands"],
+                ["row", "id", "n", "digest", *(f"s{j}" for j in range(_SKETCH)), "bands"],
             )
 
 
@@ -225,33 +226,69 @@ def near_duplicates(
     per member.
 
     Null, empty and blank texts have no shingles, link with nothing and are kept. Rows with a
-    null id take their group's component but never lead one; alone, their component is null and
-    they are kept. Rows that repeat an id each get a result. An empty table gives no rows.
+    null id link like all others and take their group's component, but lead only a group in which
+    no row has an id: its component is null, and one of its rows is kept. Rows that repeat an id
+    each get a result by their own texts. An empty table gives no rows.
     """
+    _, groups = _group(docs, id_column, text_column, shingle, percent)
+    return groups.select("id", "n_shingles", "component_id", "kept")
+
+
+def leading_rows(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """The rows of `docs` that lead their group, one of each: a row with its least id, if any has one.
+
+    Rows without shingles all stay. Rows are told apart as such, whatever their ids.
+    """
+    rows, groups = _group(docs, id_column, text_column, shingle, percent)
+    stay = rows.join(groups.filter("leads").select("row"), "row", "left_semi")
+    return stay.select(
+        [F.col("text" if c == text_column else f"own.`{c}`").alias(c) for c in docs.columns]
+    )
+
+
+def _group(
+    docs: DataFrame, id_column: str, text_column: str, shingle: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """All rows with a number each (`row`, `id`, `text`, `own`), and the group of each number."""
     scratch = Scratch(docs.sparkSession, "near-dup")
-    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_column]
+    # Written once, so that a row's number stays; the least of equal sets' is their node.
+    rows = scratch.keep(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(f"`{id_column}`").alias("id"),
+            F.col(f"`{text_column}`").alias("text"),
+            F.struct(*others).alias("own"),
+        ),
+        "rows",
+    )
+    texts = rows.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     kind = rows.schema["id"].dataType.simpleString()
     sketch = ", ".join(f"s{j} long" for j in range(_SKETCH))
     signed = scratch.keep(
-        rows.mapInArrow(
+        texts.select("row", "id", "text").mapInArrow(
             partial(_sign, size=shingle),
-            f"id {kind}, n long, digest binary, {sketch}, bands array<long>",
+            f"row long, id {kind}, n long, digest binary, {sketch}, bands array<long>",
         ),
         "signed",
     )
+    lead = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
     classes = scratch.keep(
         signed.filter("digest is not null")
         .groupBy("digest")
-        .agg(F.min("id").alias("node"))
-        .filter("node is not null"),
+        .agg(F.min("row").alias("node"), F.min(lead).alias("lead")),
         "classes",
     )
     nodes = scratch.keep(
-        signed.join(classes, "digest")
-        .filter("id = node")
-        .drop("id")
-        .dropDuplicates(["digest", "node"]),
+        signed.drop("id", "digest")
+        .withColumnRenamed("row", "node")
+        .join(classes.select("node"), "node", "left_semi"),
         "nodes",
     )
 
@@ -265,7 +302,7 @@ def near_duplicates(
     )
     busy = scratch.keep(banded.join(shared, "bucket"), "busy")
 
-    matcher = _Matcher(rows, nodes, shingle, percent, scratch)
+    matcher = _Matcher(texts.select(F.col("row").alias("id"), "text"), nodes, shingle, percent, scratch)
     labels = components(matcher.links(_pair("hub", "node", busy)), scratch)
     for pairs in (_leaders, _across):
         mixed = scratch.keep(_open(busy.select("bucket", "node"), labels), "open")
@@ -273,18 +310,25 @@ def near_duplicates(
             break
         labels = join_components(labels, matcher.links(pairs(mixed, matcher)), scratch)
 
-    found = (
-        signed.select("id", "n", "digest")
-        .join(classes, "digest", "left")
-        .join(labels, "node", "left")
-        .select(
-            "id",
-            F.col("n").alias("n_shingles"),
-            F.coalesce("component", "node", "id").alias("component_id"),
-        )
+    # A group goes by its least id, and by a row number only while groups are formed.
+    placed = classes.join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    leads = placed.groupBy("component").agg(F.min("lead").alias("lead"))
+    names = placed.select("digest", "component").join(leads, "component").select("digest", "lead")
+    found = signed.select("row", "id", "n", "digest").join(names, "digest", "left")
+    alone = F.col("lead").isNull()
+    leader = alone | (F.col("row") == F.col("lead.row"))
+    same = F.coalesce(F.col("id") == F.col("lead.id"), F.lit(False))
+    groups = found.select(
+        "row",
+        "id",
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("id")).otherwise(F.col("lead.id")).alias("component_id"),
+        F.coalesce(leader | same, F.lit(False)).alias("kept"),
+        leader.alias("leads"),
     )
-    kept = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull())
-    return found.withColumn("kept", kept)
+    return rows, groups
 
 
 def _pair(x: str, y: str, rows: DataFrame) -> DataFrame:
