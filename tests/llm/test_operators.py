@@ -421,6 +421,16 @@ def test_rows_without_id_link_like_all_others(spark):
     assert by_text(r[0] for r in rows) == by_text([10, None, 20, 30, 30, None])
 
 
+def test_no_shingle_meets_every_band_early():
+    band = np.full(near_dup.SLOTS, -1)
+    band[near_dup.DEALT] = np.repeat(np.arange(near_dup.BANDS), near_dup.BAND_ROWS)
+    assert np.array_equal(np.bincount(band[band >= 0]), [near_dup.BAND_ROWS] * near_dup.BANDS)
+    # One of five shingles takes about a fifth of all slots; its visits are start + rank * stride.
+    start, stride, rank = np.ogrid[: near_dup.SLOTS, 1 : near_dup.SLOTS, : near_dup.SLOTS // 5]
+    met = np.sort(band[(start + rank * stride) % near_dup.SLOTS], axis=-1)
+    assert ((np.diff(met, axis=-1) > 0).sum(-1) + (met[..., 0] >= 0)).max() < near_dup.BANDS
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

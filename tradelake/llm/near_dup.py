@@ -22,10 +22,13 @@ from tradelake.llm import textbytes as tb
 from tradelake.llm.components import components, join_components
 from tradelake.llm.scratch import Scratch
 
-# 42 bands of 6 slots miss a pair of similarity 0.8 three times in a million.
+# 42 bands of 6 independent slots miss a pair of similarity 0.8 three times in a million.
 SLOTS = 257
 BANDS = 42
 BAND_ROWS = 6
+# The slots of each band in turn, dealt out: a shingle visits slots at even steps, and in plain order
+# one that is not shared could meet every band of a tiny set.
+DEALT = np.argsort(tb.mix(np.arange(SLOTS, dtype=np.uint64)), kind="stable")[: BANDS * BAND_ROWS]
 
 # One bit of each of 252 slots, packed; the share of equal bits is (1 + similarity) / 2.
 _SKETCH = 4
@@ -112,7 +115,7 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
             rows, count = len(sets), np.array([len(s) for s in sets])
             flat = np.concatenate(sets)
             table = super_minhash(flat, np.repeat(np.arange(rows), count), rows, SLOTS)
-            table = table[:, :_SKETCH_BITS]
+            table = table[:, DEALT]
             grouped = table.reshape(rows, BANDS, BAND_ROWS)
             bands = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (rows, BANDS))
             for j in range(BAND_ROWS):
