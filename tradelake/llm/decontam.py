@@ -37,7 +37,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Hash of each word, and the row it is in; A-Z count as a-z, other ASCII marks split."""
     low = tb.lower_ascii(data)
     begin, end = tb.spans_of(_WORD[low], offsets)
-    hashes = tb.mix(tb.span_hashes(tb.prefix_hashes(low), begin, end))
+    hashes = tb.hash_spans(low, begin, end)
     return hashes, tb.rows_of(begin, offsets)
 
 

@@ -45,7 +45,7 @@ def shingles(
     """Shingle hashes in row order, and the begin of each row's part; a text of fewer words is one."""
     low = tb.lower_ascii(data)
     begin, end = tb.blank_words(low, offsets)
-    words = tb.mix(tb.span_hashes(tb.prefix_hashes(low), begin, end))
+    words = tb.hash_spans(low, begin, end)
     row = tb.rows_of(begin, offsets)
     rows = len(offsets) - 1
     count = np.bincount(row, minlength=rows)

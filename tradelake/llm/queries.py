@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tradelake.llm import (
     bpe,
     co_training,
+    collocations,
     decontam,
     maglev,
     near_dup,
@@ -131,6 +132,10 @@ def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(docs, shingle=2).withColumnRenamed("id", "doc_id")
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -144,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_maglev,
         op10_near_dup,
+        op12_collocations,
     )
 }
 
@@ -181,7 +187,36 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+_OP12_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) AS s(k) WHERE len(w) >= k)
+  GROUP BY lang, k, g HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.g, c.k, c.f AS a, j, x.f AS l, y.f AS r,
+    CAST(CAST(2000000 AS HUGEINT) * c.f // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM grams WHERE k > 1) c
+  JOIN grams x ON x.lang = c.lang AND x.g = c.g[1:j] JOIN grams y ON y.lang = c.lang AND y.g = c.g[j + 1:]
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, g[i:i + m - 1] AS g, max(a) AS longer
+  FROM (SELECT lang, g, a, k, m, unnest(range(1, k - m + 2)) AS i FROM best, range(2, 4) AS s(m) WHERE m < k)
+  GROUP BY 1, 2
+), ranked AS (
+  SELECT b.lang, array_to_string(g, ' ') AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank
+  FROM best b LEFT JOIN inside USING (lang, g) WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
 ORACLES = {
+    "op12_collocations": _OP12_SQL,
     "op2_warc": _OP2_SQL,
     "op4_quality_rules": quality_rules.oracle(),
     "op5_decontamination": _OP5_SQL,

@@ -8,6 +8,7 @@ the slice size or the longest single text, whichever is larger.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,61 @@ def span_hashes(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nd
     return (prefix[end] - prefix[begin]) * _powers["down"][begin]
 
 
+# Bytes hashed at once, and the length from which a span gets a digest of its own.
+_CHUNK_BYTES = 1 << 20
+_LONG_BYTES = 1 << 16
+# A Mersenne prime below 2^31 and a primitive root of it.
+_PRIME = np.uint64((1 << 31) - 1)
+_ROOT = 48271
+
+_prime_powers: dict[str, np.ndarray] = {}
+
+
+def _powers_mod_prime() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the root up to a chunk's length, and their inverses."""
+    if not _prime_powers:
+        size = _CHUNK_BYTES + _LONG_BYTES + 1
+        for name, base in (("up", _ROOT), ("down", pow(_ROOT, -1, int(_PRIME)))):
+            powers = np.ones(1, np.uint64)
+            while len(powers) < size:
+                step = np.uint64(pow(base, len(powers), int(_PRIME)))
+                powers = np.concatenate([powers, powers * step % _PRIME])
+            _prime_powers[name] = powers[:size].copy()
+    return _prime_powers["up"], _prime_powers["down"]
+
+
+def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Mixed 64-bit hashes of ordered spans that don't overlap.
+
+    Sums modulo 2^64 alone take some different long words for equal ones whatever their base
+    (Thue-Morse sequences); sums modulo a prime, which do not, are mixed in. Long spans get a
+    cryptographic digest instead. Memory follows the chunk, whatever the length of `data`.
+    """
+    out = np.empty(len(begin), np.uint64)
+    length = end - begin
+    for i in np.flatnonzero(length > _LONG_BYTES).tolist():
+        raw = blake2b(data[begin[i] : end[i]], digest_size=8).digest()
+        out[i] = np.frombuffer(raw, np.uint64)[0]
+    short = length <= _LONG_BYTES
+    begin, end, short = begin[short], end[short], np.flatnonzero(short)
+    up, down = _powers_mod_prime()
+    at = 0
+    while at < len(short):
+        base = int(begin[at])
+        stop = int(np.searchsorted(begin, base + _CHUNK_BYTES))
+        own = slice(at, stop)
+        first, last = begin[own] - base, end[own] - base
+        part = data[base : int(end[stop - 1])]
+        raw = span_hashes(prefix_hashes(part), first, last)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        # Below 2^63: a chunk's length times a byte times the prime.
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
+        other = (sums[last] - sums[first]) % _PRIME * down[first] % _PRIME
+        out[short[own]] = chain(mix(raw), other + (last - first).astype(np.uint64) * _GOLDEN)
+        at = stop
+    return out
+
+
 def spans_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each run of true bytes, where no run crosses a text's end."""
     begins, ends = inside.copy(), inside.copy()
