@@ -12,6 +12,7 @@ from tradelake.llm import (
     bpe,
     co_training,
     collocations,
+    conversation_repair,
     decontam,
     maglev,
     near_dup,
@@ -132,6 +133,35 @@ def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(docs, shingle=2).withColumnRenamed("id", "doc_id")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with some turns dropped, emptied, cut short, repeated or given to the user.
+
+    Dropped turns stay as rows with `present` false, so that every conversation is known.
+    """
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    way = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    text = F.when(way == 1, "").when(way == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(way == 4, "user").otherwise(space("role")).alias("role"),
+        text.alias("text"),
+        (way != 0).alias("present"),
+        F.explode(F.array_repeat(F.lit(1), F.when(way == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = damaged(table(spark, folder, "conversations"))
+    repaired = conversation_repair.repair_conversations(rows, present=F.col("present"))
+    digests = conversation_repair.text_digests(repaired)
+    return repaired.summary.join(digests, "conversation").select(
+        F.col("conv").alias("conv_id"),
+        *("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"),
+        F.col("sha256").alias("repaired_sha256"),
+    )
+
+
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.mine_phrases(table(spark, folder, "documents"))
 
@@ -149,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_maglev,
         op10_near_dup,
+        op11_conversation_repair,
         op12_collocations,
     )
 }
