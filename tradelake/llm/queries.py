@@ -246,7 +246,86 @@ grams AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
 
+
+
+def _repair_oracle() -> str:
+    """The repair as a fold over each conversation's turns: the least way to each of four places in the grammar."""
+    spaces = "[\\x20\\x09-\\x0D]"
+    letter = "[^\\x20\\x09-\\x0D]"
+
+    def way(before: str, cost: str, edit: str, line: str = "''") -> str:
+        return (
+            f"struct_pack(cost := {before}.cost + {cost}, audit := {before}.audit || '{edit}', "
+            f"body := {before}.body || {line})"
+        )
+
+    def turn(role: str, initial: str, before: str, user: str) -> str:
+        kept = f"CASE WHEN NOT r.go AND r.i = '{initial}' THEN 0 ELSE 1000000000 END + r.late"
+        made = "CASE WHEN r.go THEN 1000000000 ELSE 1 END + r.late"
+        return (
+            f"least({way(f'p.{initial}', '2', 'D')}, {way(before, kept, 'K', 'r.line')}"
+            + (f", {way(before, made, 'R', user)})" if user else ")")
+        )
+
+    no_user = "least(p.e, p.s, p.a)"
+    user, answer = "('user:' || r.text || chr(10))", "('assistant:' || r.text || chr(10))"
+    moved = (
+        f"struct_pack(e := {way('p.e', '2', 'D')}, s := {turn('system', 's', 'p.e', '')}, "
+        f"u := {turn('user', 'u', no_user, user)}, a := {turn('assistant', 'a', 'p.u', answer)})"
+    )
+    user_in = f"least(q.u, {way('least(q.e, q.s, q.a)', '5', 'I', chr(39) + 'user:' + chr(39) + ' || chr(10)')})"
+    answer_in = f"least(v.a, {way('v.u', '5', 'I', chr(39) + 'assistant:' + chr(39) + ' || chr(10)')})"
+    step = (
+        f"list_transform(list_transform([{moved}], lambda q: struct_pack(e := q.e, s := q.s, u := {user_in}, "
+        f"a := q.a)), lambda v: struct_pack(e := v.e, s := v.s, u := v.u, a := {answer_in}))[1]"
+    )
+    none = "struct_pack(cost := 1000000000000::BIGINT, audit := '', body := '')"
+    start = (
+        f"struct_pack(e := struct_pack(cost := 0::BIGINT, audit := '', body := ''), s := {none}, "
+        "u := struct_pack(cost := 5::BIGINT, audit := 'I', body := 'user:' || chr(10)), "
+        "a := struct_pack(cost := 10::BIGINT, audit := 'II', body := 'user:' || chr(10) || 'assistant:' || chr(10)))"
+    )
+    crc = (
+        "xor(4294967295::BIGINT, list_reduce([ord(ch)::BIGINT FOR ch IN string_split(key, '')], lambda crc, b: "
+        "list_reduce([1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), "
+        "xor(crc, b)), 4294967295::BIGINT))"
+    )
+    return f"""
+WITH keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), dealt AS (SELECT *, {crc} % 20 AS way FROM keyed), hurt AS (
+  SELECT conv_id, turn, CASE way WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE way WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE way WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM dealt WHERE way <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM hurt
+), judged AS (
+  SELECT *, left(role, 1) AS i, NOT regexp_matches(text, '{letter}') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+    NOT regexp_matches(text, '[.!?]{spaces}*$') AS cut,
+    coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS ill
+  FROM placed
+), talks AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+    count(*) FILTER (NOT blank AND NOT again AND cut) AS truncated, count(*) FILTER (ill) AS illegal,
+    list(struct_pack(i := i, go := blank OR again, late := CASE WHEN cut THEN 5 ELSE 0 END, text := text,
+      line := role || ':' || text || chr(10)) ORDER BY pos) AS turns
+  FROM judged GROUP BY conv_id
+), ends AS (SELECT *, list_reduce(turns, lambda p, r: {step}, {start}) AS z FROM talks),
+best AS (SELECT *, least(z.e, z.a) AS w FROM ends)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(w.cost, 0) AS BIGINT) AS cost,
+  coalesce(w.audit, '') AS audit,
+  sha256(coalesce(left(w.body, greatest(length(w.body) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
 ORACLES = {
+    "op11_conversation_repair": _repair_oracle(),
     "op12_collocations": _OP12_SQL,
     "op2_warc": _OP2_SQL,
     "op4_quality_rules": quality_rules.oracle(),
