@@ -13,6 +13,7 @@ from tradelake.llm import (
     co_training,
     collocations,
     conversation_repair,
+    cross_polytope,
     decontam,
     maglev,
     near_dup,
@@ -166,6 +167,11 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.mine_phrases(table(spark, folder, "documents"))
 
 
+def op13_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return cross_polytope.nearest_neighbours(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -181,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_near_dup,
         op11_conversation_repair,
         op12_collocations,
+        op13_cross_polytope,
     )
 }
 
