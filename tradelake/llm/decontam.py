@@ -24,7 +24,7 @@ from tradelake.llm.scratch import Scratch
 
 WINDOW = 10
 SLOP = 20
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 2 << 20
 # Text bytes of the benchmark items that are searched for, and broadcast, at once.
 BLOCK_BYTES = 32 << 20
 

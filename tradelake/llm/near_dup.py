@@ -10,7 +10,7 @@ permutations of a prime number of slots.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -36,6 +36,9 @@ _SKETCH_BITS = BANDS * BAND_ROWS
 # Pairs whose sketch says less than this below the threshold are not verified (over 5 deviations).
 _SKETCH_MARGIN = 0.2
 
+# Node numbers (8 bytes each, some 64 MB as a hash table) that are sent to all tasks.
+BROADCAST_NODES = 1 << 21
+
 _FREE = np.uint64(np.iinfo(np.uint64).max)
 
 
@@ -162,8 +165,11 @@ class _Matcher:
             near = near.join(old, ["a", "b"], "left_anti")
         near = self.scratch.keep(near, "plausible")
         self.tested.append(near)
-        ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ends, ends_path = self.scratch.table(
+            near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends"
+        )
         sets, path = self.scratch.table(self.sets(ends), "sets")
+        self.scratch.drop(ends_path)
         left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
         right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
         shared = F.size(F.array_intersect("x", "y"))
@@ -180,8 +186,13 @@ class _Matcher:
         return links
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """The full shingle set (`items`) of each of some distinct nodes (`node`)."""
+        """The full shingle set (`items`) of each of some distinct nodes (`node`).
+
+        As long as the nodes' numbers are few enough, they go to the texts; else both are shuffled.
+        """
         kind = self.rows.schema["id"].dataType.simpleString()
+        if nodes.count() <= BROADCAST_NODES:
+            nodes = F.broadcast(nodes)
         texts = self.rows.join(nodes, self.rows["id"] == nodes["node"]).drop("node")
         return texts.mapInArrow(
             partial(_list_sets, size=self.size), f"node {kind}, items array<long>"
@@ -233,7 +244,8 @@ def near_duplicates(
     no row has an id: its component is null, and one of its rows is kept. Rows that repeat an id
     each get a result by their own texts. An empty table gives no rows.
     """
-    _, groups = _group(docs, id_column, text_column, shingle, percent)
+    _, groups, drop_rows = _group(docs, id_column, text_column, shingle, percent)
+    drop_rows()
     return groups.select("id", "n_shingles", "component_id", "kept")
 
 
@@ -248,7 +260,7 @@ def leading_rows(
 
     Rows without shingles all stay. Rows are told apart as such, whatever their ids.
     """
-    rows, groups = _group(docs, id_column, text_column, shingle, percent)
+    rows, groups, _ = _group(docs, id_column, text_column, shingle, percent)
     stay = rows.join(groups.filter("leads").select("row"), "row", "left_semi")
     return stay.select(
         [F.col("text" if c == text_column else f"own.`{c}`").alias(c) for c in docs.columns]
@@ -257,12 +269,14 @@ def leading_rows(
 
 def _group(
     docs: DataFrame, id_column: str, text_column: str, shingle: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """All rows with a number each (`row`, `id`, `text`, `own`), and the group of each number."""
+) -> tuple[DataFrame, DataFrame, Callable[[], None]]:
+    """All rows with a number each (`row`, `id`, `text`, `own`), the group of each number, and how to remove the rows."""
     scratch = Scratch(docs.sparkSession, "near-dup")
+    # What only the search for links reads goes as soon as the groups are known.
+    work = Scratch(docs.sparkSession, "near-dup-links")
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_column]
     # Written once, so that a row's number stays; the least of equal sets' is their node.
-    rows = scratch.keep(
+    rows, rows_path = scratch.table(
         docs.select(
             F.monotonically_increasing_id().alias("row"),
             F.col(f"`{id_column}`").alias("id"),
@@ -288,7 +302,7 @@ def _group(
         .agg(F.min("row").alias("node"), F.min(lead).alias("lead")),
         "classes",
     )
-    nodes = scratch.keep(
+    nodes = work.keep(
         signed.drop("id", "digest")
         .withColumnRenamed("row", "node")
         .join(classes.select("node"), "node", "left_semi"),
@@ -296,22 +310,25 @@ def _group(
     )
 
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = scratch.keep(
+    shared = work.keep(
         banded.groupBy("bucket")
         .agg(F.min("node").alias("hub"), F.max("node").alias("top"))
         .filter("hub < top")
         .drop("top"),
         "buckets",
     )
-    busy = scratch.keep(banded.join(shared, "bucket"), "busy")
+    busy = work.keep(banded.join(shared, "bucket"), "busy")
 
-    matcher = _Matcher(texts.select(F.col("row").alias("id"), "text"), nodes, shingle, percent, scratch)
-    labels = components(matcher.links(_pair("hub", "node", busy)), scratch)
+    matcher = _Matcher(texts.select(F.col("row").alias("id"), "text"), nodes, shingle, percent, work)
+    labels = components(matcher.links(_pair("hub", "node", busy)), work)
     for pairs in (_leaders, _across):
-        mixed = scratch.keep(_open(busy.select("bucket", "node"), labels), "open")
+        mixed = work.keep(_open(busy.select("bucket", "node"), labels), "open")
         if mixed.isEmpty():
             break
-        labels = join_components(labels, matcher.links(pairs(mixed, matcher)), scratch)
+        labels = join_components(labels, matcher.links(pairs(mixed, matcher)), work)
+
+    labels = scratch.keep(labels, "labels")
+    work.drop()
 
     # A group goes by its least id, and by a row number only while groups are formed.
     placed = classes.join(labels, "node", "left").withColumn(
@@ -331,7 +348,7 @@ def _group(
         F.coalesce(leader | same, F.lit(False)).alias("kept"),
         leader.alias("leads"),
     )
-    return rows, groups
+    return rows, groups, partial(scratch.drop, rows_path)
 
 
 def _pair(x: str, y: str, rows: DataFrame) -> DataFrame:
@@ -368,7 +385,7 @@ def _across(mixed: DataFrame, matcher: _Matcher) -> DataFrame:
     both bounds what they can share in all, so that common items bring few pairs.
     """
     percent, keep = matcher.percent, matcher.scratch.keep
-    place = mixed.select("node", "component").distinct()
+    place = keep(mixed.select("node", "component").distinct(), "place")
     sets = keep(matcher.sets(place.select("node")), "open-sets")
     flat = sets.select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
     several = flat.groupBy("item").agg(F.count("*").alias("used")).filter("used > 1")

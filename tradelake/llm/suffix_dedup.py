@@ -17,6 +17,7 @@ surroundings differ, one occurrence of each goes on to exact comparison window b
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -33,6 +34,7 @@ LENGTH = 400
 PREFIX = 240
 BATCHES = 4
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _SPAN = "array<struct<begin:int,end:int>>"
 
 
@@ -203,8 +205,13 @@ def merged_spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.nda
     return begin[at], reach[np.append(at[1:], len(begin)) - 1] if len(at) else reach
 
 
-def _cut_one(raw: bytes, begin: np.ndarray, end: np.ndarray, whole_chars: bool):
+def _cut_one(raw: bytes, begin: np.ndarray, end: np.ndarray, whole_chars: bool, least_words: int):
     begin, end = merged_spans(begin.astype(np.int64), end.astype(np.int64))
+    if least_words:
+        # Words that a run holds a part of count.
+        runs = zip(begin.tolist(), end.tolist())
+        long = [e - b >= LENGTH or len(_WORD.findall(raw, b, e)) >= least_words for b, e in runs]
+        begin, end = begin[long], end[long]
     if whole_chars:
         inner = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
         for i in range(len(begin)):
@@ -220,7 +227,7 @@ def _cut_one(raw: bytes, begin: np.ndarray, end: np.ndarray, whole_chars: bool):
     return b"".join(kept), begin, end
 
 
-def _cut(batches: Iterator[pa.RecordBatch], whole_chars: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], whole_chars: bool, least_words: int) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
         data, offsets = tb.column_bytes(batch.column("text"))
@@ -235,7 +242,7 @@ def _cut(batches: Iterator[pa.RecordBatch], whole_chars: bool) -> Iterator[pa.Re
                 raw = data[offsets[i] : offsets[i + 1]].tobytes()
                 b, e = begin[part], end[part]
                 if len(b):
-                    raw, b, e = _cut_one(raw, b, e, whole_chars)
+                    raw, b, e = _cut_one(raw, b, e, whole_chars, least_words)
                 kept.append(raw)
                 spans.append([{"begin": x, "end": y} for x, y in zip(b.tolist(), e.tolist())])
             yield pa.RecordBatch.from_arrays(
@@ -344,13 +351,15 @@ def remove_repeats(
     prefix: int = PREFIX,
     batches: int = BATCHES,
     whole_chars: bool = False,
+    least_words: int = 0,
 ) -> DataFrame:
     """Cut out of every text the bytes that repeat elsewhere in strings of `length` bytes.
 
     Returns a row per input row: `row` (all its columns but the text), `n_bytes`, `kept` (the
     remaining bytes), `spans` (begin and end of the maximal removed runs). Strings are judged on the
     input, never cross texts, and may repeat within a text or overlap. With `whole_chars`, a
-    character cut in two is kept whole, so that `kept` stays valid UTF-8.
+    character cut in two is kept whole, so that `kept` stays valid UTF-8. With `least_words`, runs of fewer
+    words stay, unless they have `LENGTH` bytes.
 
     A null text is empty; empty texts and those shorter than `length` keep everything. Repeated
     rows count as occurrences of each other, so a text of `length` bytes or more that has an
@@ -372,7 +381,7 @@ def remove_repeats(
             T.StructField("spans", T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
         ]
     )
-    return joined.mapInArrow(partial(_cut, whole_chars=whole_chars), schema)
+    return joined.mapInArrow(partial(_cut, whole_chars=whole_chars, least_words=least_words), schema)
 
 
 def _rows(docs: DataFrame, id_column: str, text_column: str, row=None) -> DataFrame:
