@@ -13,6 +13,10 @@ from tradelake.llm.ship import ship_package
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SHINGLE = 5
 PERCENT = 80
+# A repeat goes from this many words on; so many have 255 bytes, at four letters each.
+PASSAGE_WORDS = 51
+PASSAGE_BYTES = 5 * PASSAGE_WORDS
+PASSAGE_PREFIX = 150
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +37,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the long strings that also stand elsewhere; characters stay whole."""
+    """All documents, without the passages that also stand elsewhere; characters stay whole.
+
+    Strings of `PASSAGE_BYTES` are looked for; runs of them with fewer than `PASSAGE_WORDS` words stay, unless
+    they have 400 bytes.
+    """
     ship_package(spark)
-    cut = suffix_dedup.remove_repeats(docs, whole_chars=True)
+    cut = suffix_dedup.remove_repeats(
+        docs, length=PASSAGE_BYTES, prefix=PASSAGE_PREFIX, whole_chars=True, least_words=PASSAGE_WORDS
+    )
     text = F.col("kept").cast("string")
     new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
     return cut.select(
