@@ -1,4 +1,4 @@
-"""Versioned tables, upserts, day replacement, catalog tables."""
+"""Partitioned tables by folder and by name, upserts, key index, day replacement."""
 
 from __future__ import annotations
 
@@ -14,20 +14,32 @@ from tradelake.operators.replace import append_rows, replace_days
 from tradelake.operators.summaries import MARKET, SUMMARIES, day_totals, roll_up, summarise
 from tradelake.operators.upsert import merge_into_table, upsert, upsert_into
 from tradelake.session import empty
-from tradelake.sources import catalog, layout, paths
-from tradelake.sources.versioned import VersionedTable
+from tradelake.sources import catalog, layout
+from tradelake.sources.keys import KeyIndex
+from tradelake.sources.tables import CatalogTable, FolderTable
 
 KEY = ["transaction_id"]
 
 
+@pytest.fixture(params=["folder", "catalog"])
+def tables(request, spark, tmp_path):
+    """Makes an empty table of a spec, known by its folder or by its name."""
+    if request.param == "folder":
+        yield lambda spec: FolderTable.of(spark, str(tmp_path), spec)
+        return
+    catalog.create_tables(spark, prefix="own_", location=str(tmp_path))
+    yield lambda spec: CatalogTable(spark, catalog.table_name(spec, "own_"))
+    catalog.drop_databases(spark, prefix="own_")
+
+
 @pytest.fixture
-def silver(spark, tmp_path):
-    return VersionedTable.of(spark, str(tmp_path), schemas.SILVER)
+def silver(tables):
+    return tables(schemas.SILVER)
 
 
 @pytest.fixture
-def market(spark, tmp_path):
-    return VersionedTable.of(spark, str(tmp_path), schemas.GOLD_MARKET)
+def market(tables):
+    return tables(schemas.GOLD_MARKET)
 
 
 def test_null_keys_never_match(spark):
@@ -86,43 +98,59 @@ def test_null_partition(spark, silver):
     assert {r.transaction_id for r in silver.read([(None, None, None)]).collect()} == {"a"}
 
 
-def test_old_versions_stay_readable_until_expired(spark, silver):
-    upsert_into(silver, raw(spark, record("a", at(19))), KEY)
-    old = silver.read()
-    upsert_into(silver, raw(spark, record("a", at(20))), KEY)
-    assert key_times(old) == key_times(silver.read(version=1)) == [("a", at(19))]
-    silver.expire()
-    assert key_times(silver.read()) == [("a", at(20))]
-    assert len(paths.child_names(spark, f"{silver.root}/data")) == 1
-
-
-def test_unfinished_commit_is_skipped(spark, silver):
-    silver.append(raw(spark, record("a", at(19))))
-    manifest = f"{silver.root}/versions/v=00000002"
-    silver.spark.range(1).write.parquet(manifest)
-    paths.remove(spark, f"{manifest}/_SUCCESS")
-    assert silver.version() == 1
-    silver.append(raw(spark, record("b", at(20))))
-    assert silver.version() == 3
-    assert key_times(silver.read()) == [("a", at(19)), ("b", at(20))]
-
-
-def test_concurrent_commit_is_refused(spark, silver):
-    silver.append(raw(spark, record("a", at(19))))
-    base, entries = silver.version(), silver._entries()
-    silver.append(raw(spark, record("b", at(20))))
-    with pytest.raises(RuntimeError):
-        silver._commit(base, entries)
+def test_rows_may_come_from_the_table_they_replace(spark, silver):
+    silver.append(raw(spark, record("a", at(19)), record("b", at(20)), record("c", at(21))))
+    touched = {(2025, 6, 19), (2025, 6, 20)}
+    silver.replace_partitions(silver.read(touched).filter("transaction_id = 'b'"), touched)
+    assert key_times(silver.read()) == [("b", at(20)), ("c", at(21))]
+    assert silver.partitions() == {(2025, 6, 20), (2025, 6, 21)}
 
 
 def test_empty_table(spark, silver):
-    assert silver.version() == 0
-    assert silver.read().schema == schemas.RAW
-    assert silver.read().count() == 0
+    assert silver.partitions() == set()
+    assert [(f.name, f.dataType) for f in silver.read().schema] == [(f.name, f.dataType) for f in schemas.RAW]
+    assert silver.read().count() == silver.read([(2025, 6, 20)]).count() == 0
     silver.append(empty(spark, schemas.RAW))
+    silver.replace_partitions(empty(spark, schemas.RAW), [(2025, 6, 20)])
     assert silver.read().count() == 0
 
 
+def test_session_overwrites_as_before_after_a_replacement(spark, silver):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    silver.replace_partitions(raw(spark, record("a", at(19))), ())
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_upsert_opens_only_partitions_that_may_hold_an_id(spark, silver):
+    upsert_into(silver, raw(spark, *(record(f"k{d}", at(d)) for d in range(1, 11)), record(None, at(2))), KEY)
+    updates = raw(spark, record("k3", at(12)), record("new", at(12)), record(None, at(12)))
+    index = KeyIndex(silver, KEY)
+    holding = index.holding(updates)
+    assert {tuple(r) for r in holding.collect()} == {(2025, 6, 3)}
+    # The locating plan reads digests only, and no pairs of rows are made.
+    assert holding.inputFiles() and all("/_keys/" in f for f in holding.inputFiles())
+    text = plan(holding)
+    assert "transaction_id" not in "".join(l for l in text.splitlines() if "/_keys" in l and "FileScan" in l)
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    before = set(silver.read().inputFiles())
+    assert upsert_into(silver, updates, KEY) == {(2025, 6, 3), (2025, 6, 12)}
+    assert len(before & set(silver.read().inputFiles())) == 9
+    assert key_times(silver.read())[-2:] == [(None, at(12)), (None, at(2))]
+
+
+def test_key_index_covers_the_table_and_is_built_where_it_is_missing(spark, silver):
+    silver.append(raw(spark, record("a", at(19)), record("b", at(20))))
+    index = KeyIndex(silver, KEY)
+    assert index.partitions(raw(spark, record("a", at(1)))) == {(2025, 6, 19)}
+    # A key that moved away costs a look; a new index forgets it.
+    upsert_into(silver, raw(spark, record("a", at(20))), KEY)
+    upsert_into(silver, raw(spark, record("c", at(19))), KEY)
+    assert index.partitions(raw(spark, record("a", at(1)))) == {(2025, 6, 19), (2025, 6, 20)}
+    index.rebuild()
+    assert index.partitions(raw(spark, record("a", at(1)))) == {(2025, 6, 20)}
+    assert key_times(silver.read()) == [("a", at(20)), ("b", at(20)), ("c", at(19))]
+
+
 def test_hot_partition_is_split_in_a_large_write(spark, monkeypatch, silver):
     monkeypatch.setattr(layout, "SMALL_WRITE_BYTES", 0)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "65536")
@@ -210,7 +238,8 @@ def test_summary_schemas(spark, sf):
         assert [(f.name, f.dataType) for f in made] == [(f.name, f.dataType) for f in wanted]
 
 
-def test_catalog_tables(spark, tmp_path):
+def test_catalog_tables(request, spark, tmp_path):
+    request.addfinalizer(lambda: catalog.drop_databases(spark, prefix="t_"))
     for _ in range(2):
         catalog.create_tables(spark, prefix="t_", location=str(tmp_path))
     rows = raw(spark, record("a", at(20)), record("b", at(21)))

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from tradelake.functions.calendar import among
 from tradelake.session import staged
-from tradelake.sources.versioned import VersionedTable
+from tradelake.sources.tables import CatalogTable, PartitionedTable
 
 DAY = "report_date"
 
 
 def replace_days(
-    table: VersionedTable, rows: DataFrame, days: date | tuple[date, date] | frozenset[date] | None = None
-) -> int:
+    table: PartitionedTable, rows: DataFrame, days: date | tuple[date, date] | frozenset[date] | None = None
+) -> None:
     """Make `rows` the only rows of their days; other days of the same month stay.
 
     `days` names the days to replace, so that a day without any new row is emptied, and rows of
@@ -29,11 +29,15 @@ def replace_days(
             touched = table.distinct_partitions(new)
             dates = new.select(F.col(DAY).alias("_day")).distinct()
             other = table.read(touched).join(dates, F.col(DAY).eqNullSafe(F.col("_day")), "left_anti")
-            return table.replace_partitions(other.select(columns).unionByName(new), touched)
-    touched = {p for p in table.partitions() if None not in p and _in_month(p, days)}
+            table.replace_partitions(other.select(columns).unionByName(new), touched)
+            return
     inside = F.coalesce(among(F.col(DAY), days), F.lit(False))
+    if isinstance(table, CatalogTable) and table.row_level:
+        rows.select(columns).filter(inside).writeTo(table.name).overwrite(inside)
+        return
+    touched = {p for p in table.partitions() if None not in p and _in_month(p, days)}
     merged = table.read(touched).filter(~inside).unionByName(rows.filter(inside))
-    return table.replace_partitions(merged, touched)
+    table.replace_partitions(merged, touched)
 
 
 def _in_month(month: tuple[int, int], days: date | tuple[date, date] | frozenset[date]) -> bool:
@@ -43,6 +47,6 @@ def _in_month(month: tuple[int, int], days: date | tuple[date, date] | frozenset
     return month in {(d.year, d.month) for d in ([days] if isinstance(days, date) else days)}
 
 
-def append_rows(table: VersionedTable, rows: DataFrame) -> int:
+def append_rows(table: PartitionedTable, rows: DataFrame) -> None:
     """Add `rows` as they are: running it twice gives two rows per key."""
-    return table.append(rows)
+    table.append(rows)

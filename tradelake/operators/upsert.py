@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.sources.versioned import Partition, VersionedTable
+from tradelake.sources.keys import KeyIndex
+from tradelake.sources.tables import CatalogTable, Partition, PartitionedTable
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -25,27 +26,29 @@ def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFra
 
 
 def upsert_into(
-    table: VersionedTable, updates: DataFrame, key: Sequence[str]
+    table: PartitionedTable, updates: DataFrame, key: Sequence[str]
 ) -> set[Partition]:
-    """Upsert into a versioned table; gives the partitions that change, no other is rewritten.
+    """Upsert into a table; gives the partitions that change, no other is opened or rewritten.
 
     `updates` is used several times and should be a staged table. A key that does not include the
-    partition columns can sit in any partition: a scan of just the key column finds which ones.
+    partition columns can sit in any partition: the table's key index finds which ones. Such a table is
+    written by upserts only; after any other write, rebuild its index. Where the catalog has row-level
+    operations, the table's own MERGE does the same in one commit.
     """
     touched = table.distinct_partitions(updates)
-    if not set(table.partition_by) <= set(key):
-        columns = dict.fromkeys([*key, *table.partition_by])
-        held = table.read().select(*columns).join(updates.select(*key), list(key), "left_semi")
-        touched |= table.distinct_partitions(held)
-    table.replace_partitions(upsert(table.read(touched), updates, key), touched)
+    index = None if set(table.partition_by) <= set(key) else KeyIndex(table, key)
+    if index:
+        touched |= index.partitions(updates)
+        index.add(updates)
+    if isinstance(table, CatalogTable) and table.row_level:
+        merge_into_table(updates, table.name, key)
+    else:
+        table.replace_partitions(upsert(table.read(touched), updates, key), touched)
     return touched
 
 
 def merge_into_table(updates: DataFrame, table: str, key: Sequence[str]) -> None:
     """The same upsert as a native MERGE, for catalogs with row-level operations."""
-    matches = " AND ".join(f"t.{c} = u.{c}" for c in key)
-    updates.sparkSession.sql(
-        f"MERGE INTO {table} t USING {{updates}} u ON {matches} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
-        updates=updates,
-    )
+    matches = reduce(and_, (F.col(f"{table}.{c}") == F.col(f"u.{c}") for c in key))
+    merge = updates.alias("u").mergeInto(table, matches)
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()

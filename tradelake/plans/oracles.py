@@ -37,6 +37,19 @@ bronze AS (SELECT *, {_PARTS} FROM trades),
 cleaned AS (SELECT * FROM bronze WHERE {_CLEAN}),
 silver AS (SELECT {_COLUMNS} FROM (SELECT *, {_RANK} AS rn FROM cleaned) WHERE rn = 1)"""
 
+
+
+def _dated(day: str) -> str:
+    """The same, with trades on other days."""
+    return _WITH.replace("l_shipdate + to_seconds", f"{day} + to_seconds")
+
+
+_DAY_NUMBER = "CAST(epoch(l_shipdate) // 86400 AS INTEGER)"
+_WITH_FOLDED = _dated(f"TIMESTAMP '1998-06-11' + to_days({_DAY_NUMBER} % 40)")
+# The date in UTC, whatever the zone of the engine that checks.
+_TODAY = "CAST(CAST(make_timestamp(epoch_us(get_current_timestamp())) AS DATE) AS TIMESTAMP)"
+_WITH_TODAY = _dated(f"{_TODAY} + to_days({_DAY_NUMBER} % 3 - 1)")
+
 _NAN_FLAG = """CASE WHEN isnan({0}) THEN NULL ELSE {0} END AS {0},
        coalesce(isnan({0}), false) AS {0}_nan"""
 
@@ -112,6 +125,7 @@ FROM events"""
 ORACLES: dict[str, str] = {
     "tx_bronze": f"{_WITH}\n{_BRONZE_OUT}",
     "day_slice": f"{_WITH}\n{_BRONZE_OUT} WHERE ts_year = 1998 AND ts_month = 5 AND ts_day = 5",
+    "today_slice": f"{_WITH_TODAY}\n{_BRONZE_OUT} WHERE CAST(ts AS DATE) = CAST({_TODAY} AS DATE)",
     "dq_clean": f"{_WITH}\nSELECT {_COLUMNS} FROM cleaned",
     "dq_stage_counts": f"""{_WITH}
 SELECT (SELECT count(*) FROM bronze) AS rows_read, (SELECT count(*) FROM cleaned) AS rows_clean,
@@ -146,6 +160,9 @@ SELECT * FROM summary UNION ALL SELECT * FROM summary""",
     "json_decode_explode": _EVENTS,
     "stream_append": _EVENT_PARTS,
     "stream_restart": _EVENT_PARTS,
+    "stream_table": _EVENT_PARTS,
+    "stream_service": _EVENT_PARTS,
+    "stream_compact": _EVENT_PARTS,
     "envelope_pages": """SELECT n // 100 AS page, CAST(n % 100 AS INTEGER) AS place,
        event_id, ts, user_id, event_type, value, props
 FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS n FROM events)""",
@@ -187,4 +204,13 @@ FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
 SELECT stock_symbol, transaction_id, ts, price, quantity, home_exchange, base_price
 FROM cleaned LEFT JOIN symbols ON stock_symbol = symbol""",
     "daily_run": _gold("stock"),
+    "daily_run_tables": f"{_WITH_FOLDED}\n{_summary('stock', 'silver')}",
+    "late_days": f"{_WITH_FOLDED}\nSELECT * FROM silver",
+    "empty_day": f"""{_WITH_FOLDED}, days AS (
+  SELECT * FROM (VALUES (DATE '1997-01-01'), (DATE '1998-06-20')) AS d(day))
+SELECT day, (SELECT count(*) FROM bronze WHERE CAST(ts AS DATE) = day) AS rows_read,
+       (SELECT count(*) FROM cleaned WHERE CAST(ts AS DATE) = day) AS rows_clean,
+       (SELECT count(DISTINCT transaction_id) FROM cleaned WHERE CAST(ts AS DATE) = day) AS rows_deduplicated,
+       (SELECT count(DISTINCT transaction_id) FROM cleaned WHERE CAST(ts AS DATE) = day) AS silver_rows
+FROM days""",
 }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
+from threading import Thread
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,15 +31,17 @@ from tradelake.operators.summaries import (
     summarise,
 )
 from tradelake.operators.upsert import upsert, upsert_into
-from tradelake.plans.daily import Lake, clean_days, ingest_day, report_days
+from tradelake.plans.daily import Lake, clean_days, clean_pending, ingest_day, report_days
 from tradelake.session import scratch_path, stage, staged
 from tradelake.sources import catalog, messages
 from tradelake.sources.day_files import read_day_file, write_day_file
+from tradelake.sources.compaction import pack
 from tradelake.sources.raw import read_raw
-from tradelake.sources.trades import table, trades
-from tradelake.sources.versioned import VersionedTable
+from tradelake.sources.trades import folded, moved_to_today, table, trades
+from tradelake.sources.tables import CatalogTable, FolderTable
 from tradelake.functions.calendar import day_name, day_parts
 from tradelake.streaming.ingest import decode, ingest_available
+from tradelake.streaming.service import IngestService
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +89,11 @@ def one_day(spark: SparkSession, folder: str) -> DataFrame:
     return _nan_as_flag(day_slice(bronze(spark, folder), date(1998, 5, 5)), "price")
 
 
+def today_slice(spark: SparkSession, folder: str) -> DataFrame:
+    """The current date's trades, by its parts."""
+    return _nan_as_flag(day_slice(to_raw(moved_to_today(trades(spark, folder)), "ts"), None), "price")
+
+
 def dq_clean(spark: SparkSession, folder: str) -> DataFrame:
     return clean(bronze(spark, folder))
 
@@ -111,7 +120,7 @@ def silver_upsert_reversed(spark: SparkSession, folder: str) -> DataFrame:
 
 def silver_table_upsert(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "silver-table")
-    silver_table = VersionedTable.of(spark, root, schemas.SILVER)
+    silver_table = FolderTable.of(spark, root, schemas.SILVER)
     for batch in _two_batches(spark, folder):
         with staged(batch, "updates") as updates:
             upsert_into(silver_table, updates, KEY)
@@ -139,8 +148,20 @@ def _gold_bronze(summary: Summary) -> Query:
     return query
 
 
-def _gold_table(spark: SparkSession, summary: Summary) -> VersionedTable:
-    return VersionedTable.of(spark, scratch_path(spark, "gold-table"), summary.table)
+@contextmanager
+def _own_catalog(spark: SparkSession) -> Iterator[tuple[str, str]]:
+    """A prefix for databases of one's own and the folder they are in; they are dropped at the end."""
+    place = scratch_path(spark, "catalog")
+    prefix = place.rsplit("/", 1)[1].replace("-", "_") + "_"
+    try:
+        yield prefix, place
+    finally:
+        catalog.drop_databases(spark, prefix=prefix)
+
+
+def _market_table(spark: SparkSession, prefix: str, place: str) -> CatalogTable:
+    catalog.create_tables(spark, [MARKET.table], prefix, location=place)
+    return CatalogTable(spark, catalog.table_name(MARKET.table, prefix))
 
 
 def _day_bounds(rows: DataFrame, column: str, inside: date) -> tuple[date, date]:
@@ -151,52 +172,49 @@ def _day_bounds(rows: DataFrame, column: str, inside: date) -> tuple[date, date]
 
 
 def gold_append_twice(spark: SparkSession, folder: str) -> DataFrame:
-    market = _gold_table(spark, MARKET)
-    with staged(summarise(silver(spark, folder), MARKET), "market") as rows:
+    with _own_catalog(spark) as place, staged(summarise(silver(spark, folder), MARKET), "market") as rows:
+        market = _market_table(spark, *place)
         for _ in range(2):
             append_rows(market, rows)
-    return _rounded(market.read())
+        return stage(_rounded(market.read()), "gold")[0]
 
 
 def gold_replace_day(spark: SparkSession, folder: str) -> DataFrame:
     """Summaries of the raw rows first, then each half of the days replaced, the last one twice."""
-    market = _gold_table(spark, MARKET)
-    append_rows(market, summarise(bronze(spark, folder), MARKET))
     cut = date(1998, 7, 15)
-    with staged(summarise(silver(spark, folder), MARKET), "market") as rows:
+    with _own_catalog(spark) as place, staged(summarise(silver(spark, folder), MARKET), "market") as rows:
+        market = _market_table(spark, *place)
+        append_rows(market, summarise(bronze(spark, folder), MARKET))
         first, last = _day_bounds(rows, "report_date", cut)
         replace_days(market, rows.filter(F.col("report_date") < F.lit(cut)), (first, date(1998, 7, 14)))
         for _ in range(2):
             replace_days(market, rows.filter(F.col("report_date") >= F.lit(cut)), (cut, last))
-    return _rounded(market.read())
+        return stage(_rounded(market.read()), "gold")[0]
 
 
 def ddl_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Create the six tables, fill each from the trades and count what they hold."""
-    place = scratch_path(spark, "catalog")
-    prefix = place.rsplit("/", 1)[1].replace("-", "_") + "_"
-    for _ in range(2):
-        catalog.create_tables(spark, prefix=prefix, location=place)
-    catalog.append_to(bronze(spark, folder), schemas.BRONZE, prefix)
-    raw = spark.table(catalog.table_name(schemas.BRONZE, prefix))
-    catalog.append_to(latest_per_key(clean(raw), KEY), schemas.SILVER, prefix)
-    cleaned = spark.table(catalog.table_name(schemas.SILVER, prefix))
-    with staged(day_totals(cleaned), "day-totals") as totals:
-        for summary in SUMMARIES:
-            catalog.append_to(roll_up(totals, summary), summary.table, prefix)
-    counts = None
-    for spec in schemas.TABLES:
-        filled = spark.table(catalog.table_name(spec, prefix))
-        parts = F.struct(*spec.partition_by)
-        count = filled.agg(
-            F.lit(spec.name).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct(parts).alias("partition_count"),
-        )
-        counts = count if counts is None else counts.unionByName(count)
-    rows, _ = stage(counts, "counts")
-    catalog.drop_databases(spark, prefix=prefix)
-    return rows
+    with _own_catalog(spark) as (prefix, place):
+        for _ in range(2):
+            catalog.create_tables(spark, prefix=prefix, location=place)
+        catalog.append_to(bronze(spark, folder), schemas.BRONZE, prefix)
+        raw = spark.table(catalog.table_name(schemas.BRONZE, prefix))
+        catalog.append_to(latest_per_key(clean(raw), KEY), schemas.SILVER, prefix)
+        cleaned = spark.table(catalog.table_name(schemas.SILVER, prefix))
+        with staged(day_totals(cleaned), "day-totals") as totals:
+            for summary in SUMMARIES:
+                catalog.append_to(roll_up(totals, summary), summary.table, prefix)
+        counts = None
+        for spec in schemas.TABLES:
+            filled = spark.table(catalog.table_name(spec, prefix))
+            parts = F.struct(*spec.partition_by)
+            count = filled.agg(
+                F.lit(spec.name).alias("table_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.count_distinct(parts).alias("partition_count"),
+            )
+            counts = count if counts is None else counts.unionByName(count)
+        return stage(counts, "counts")[0]
 
 
 # -- events: pages, messages, streams, files
@@ -231,6 +249,72 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     return _streamed(spark, folder, 2)
 
 
+def stream_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Events by the native sink into a partitioned catalog table that was made before the stream."""
+    root, topic = scratch_path(spark, "stream"), day_name(RUN_DAY)
+    spec = schemas.TableSpec("streamed", "events", RAW_EVENT, schemas.DAY_PARTS)
+    with _own_catalog(spark) as (prefix, place):
+        catalog.create_tables(spark, [spec], prefix, location=place)
+        try:
+            name = catalog.table_name(spec, prefix)
+            messages.write(_event_messages(spark, folder), f"{root}/topics", topic, "parquet")
+            source = messages.read_stream(spark, f"{root}/topics", topic, "parquet", maxFilesPerTrigger="4")
+            ingest_available(source, name, f"{root}/checkpoint", topic, record=EVENT, ts="ts", native=True)
+            # The file sink doesn't tell the catalog about new partitions.
+            spark.catalog.recoverPartitions(name)
+            table = CatalogTable(spark, name)
+            return stage(table.read(table.partitions()), "streamed")[0]
+        finally:
+            catalog.drop_databases(spark, [spec], prefix)
+
+
+def _halves(rows: DataFrame) -> list[DataFrame]:
+    """Messages in two parts, told by their keys."""
+    return [rows.filter(F.pmod(F.xxhash64("key"), F.lit(2)) == n) for n in range(2)]
+
+
+def stream_service(spark: SparkSession, folder: str) -> DataFrame:
+    """An ingest that is started, fed twice, stopped by its file and started again."""
+    root, topic = scratch_path(spark, "stream"), day_name(RUN_DAY)
+    checkpoint = f"{root}/checkpoint"
+
+    def start() -> IngestService:
+        source = messages.read_stream(spark, f"{root}/topics", topic, "parquet", maxFilesPerTrigger="8")
+        return IngestService(
+            source, f"{root}/raw", checkpoint, topic, every="200 milliseconds", look=0.2, record=EVENT, ts="ts"
+        )
+
+    with staged(_event_messages(spark, folder), "messages") as sent:
+        first, second = _halves(sent)
+        messages.write(first.limit(0), f"{root}/topics", topic, "parquet")
+        service = start()
+        running = Thread(target=service.run)
+        running.start()
+        try:
+            messages.write(first, f"{root}/topics", topic, "parquet")
+            service.query.processAllAvailable()
+        finally:
+            IngestService.request_stop(spark, checkpoint)
+            running.join()
+        messages.write(second, f"{root}/topics", topic, "parquet")
+    again = start()
+    again.query.processAllAvailable()
+    again.finish()
+    return read_raw(spark, f"{root}/raw", schema=RAW_EVENT)
+
+
+def stream_compact(spark: SparkSession, folder: str) -> DataFrame:
+    """Many small batches, packed twice with more of them between."""
+    root, topic = scratch_path(spark, "stream"), day_name(RUN_DAY)
+    with staged(_event_messages(spark, folder), "messages") as sent:
+        for part in _halves(sent):
+            messages.write(part, f"{root}/topics", topic, "parquet")
+            source = messages.read_stream(spark, f"{root}/topics", topic, "parquet", maxFilesPerTrigger="2")
+            ingest_available(source, f"{root}/raw", f"{root}/checkpoint", topic, record=EVENT, ts="ts")
+            pack(spark, f"{root}/raw", schema=RAW_EVENT)
+    return read_raw(spark, f"{root}/raw", schema=RAW_EVENT)
+
+
 def envelope_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages as they come out of the messages: page number from the key, place from the array."""
     offset = F.element_at(F.split(F.col("key").cast("string"), "_"), -1).cast("long")
@@ -325,9 +409,56 @@ def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(lake.gold(STOCK).read())
 
 
+def _send(lake: Lake, records: DataFrame, day: date) -> str:
+    sent = envelopes(records.withColumnRenamed("ts", "timestamp"), ["timestamp", *KEY], day, missing="nan")
+    place = f"{lake.root}/topics"
+    messages.write(sent, place, day_name(day), "parquet")
+    return place
+
+
+def daily_run_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily jobs over catalog tables: two topics, cleaned and reported by table name."""
+    with _own_catalog(spark) as (prefix, place):
+        lake = Lake(spark, scratch_path(spark, "lake"), prefix)
+        lake.create(place)
+        rows = folded(trades(spark, folder))
+        for number, day in enumerate((RUN_DAY, date(2024, 2, 1))):
+            part = rows.filter(F.pmod(F.xxhash64(*KEY), F.lit(2)) == number)
+            ingest_day(lake, _send(lake, part, day), day)
+        days = _day_bounds(rows, "ts", RUN_DAY)
+        for _ in range(2):
+            clean_days(lake, days)
+        report_days(lake, days)
+        return stage(_rounded(lake.gold(STOCK).read()), "gold")[0]
+
+
+def late_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Two topics with rows of the same days; after each, the days to clean come from the ledger."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    rows = folded(trades(spark, folder))
+    for number, day in enumerate((RUN_DAY, date(2024, 2, 1))):
+        part = rows.filter(F.pmod(F.xxhash64("ts", *KEY), F.lit(2)) == number)
+        ingest_day(lake, _send(lake, part, day), day)
+        clean_pending(lake)
+    return lake.silver.read()
+
+
+def empty_day(spark: SparkSession, folder: str) -> DataFrame:
+    """What cleaning counts for a day without rows, and for one of the days that have some."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    ingest_day(lake, _send(lake, folded(trades(spark, folder)), RUN_DAY), RUN_DAY)
+    out = []
+    for day in (date(1997, 1, 1), date(1998, 6, 20)):
+        counts = clean_days(lake, day)
+        out.append((day, counts.rows_read, counts.rows_clean, counts.rows_deduplicated, lake.silver.read().count()))
+    columns = "day date, rows_read long, rows_clean long, rows_deduplicated long, silver_rows long"
+    return spark.createDataFrame(out, columns)
+
+
 QUERIES: dict[str, Query] = {
     "tx_bronze": tx_bronze,
     "day_slice": one_day,
+    "today_slice": today_slice,
     "dq_clean": dq_clean,
     "dq_stage_counts": dq_stage_counts,
     "dedup_latest": silver,
@@ -348,6 +479,9 @@ QUERIES: dict[str, Query] = {
     "json_decode_explode": json_decode_explode,
     "stream_append": stream_append,
     "stream_restart": stream_restart,
+    "stream_table": stream_table,
+    "stream_service": stream_service,
+    "stream_compact": stream_compact,
     "envelope_pages": envelope_pages,
     "page_slice": one_page,
     "page_listing": all_pages,
@@ -359,4 +493,7 @@ QUERIES: dict[str, Query] = {
     "dim_enrich": dim_enrich,
     "symbol_lookup": symbol_lookup,
     "daily_run": daily_run,
+    "daily_run_tables": daily_run_tables,
+    "late_days": late_days,
+    "empty_day": empty_day,
 }

@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from tradelake.schemas import TABLES, TableSpec
+from tradelake.schemas import BRONZE, TABLES, TableSpec
 from tradelake.sources.layout import by_partition
+from tradelake.sources.raw import BATCH
+
+
+# The raw table of file formats, where a streamed batch is a partition and can replace itself.
+RAW_BY_BATCH = TableSpec(
+    BRONZE.database,
+    BRONZE.name,
+    T.StructType([*BRONZE.schema.fields, T.StructField(BATCH, T.StringType())]),
+    (*BRONZE.partition_by, BATCH),
+)
 
 
 def table_name(spec: TableSpec, prefix: str = "") -> str:

@@ -44,3 +44,18 @@ def make_passing_dir(spark: SparkSession, path: str) -> None:
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, jpath = _resolve(spark, path)
     fs.mkdirs(jpath)
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in the form that the pattern has."""
+    fs, jpath = _resolve(spark, pattern)
+    found = fs.globStatus(jpath) or []
+    base = pattern.split("*", 1)[0].rsplit("/", 1)[0]
+    whole = fs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(base)).toString()
+    return sorted(base + str(s.getPath().toString()).removeprefix(whole) for s in found)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, jpath = _resolve(spark, path)
+    return int(fs.getContentSummary(jpath).getLength())

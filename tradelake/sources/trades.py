@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions.calendar import transaction_id
@@ -37,3 +37,27 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.when(slot < 10, "NASDAQ").otherwise("NYSE"))
         .alias("exchange"),
     )
+
+
+# The first of the days that trades are folded to, and how many there are.
+FIRST_DAY, FOLDED_DAYS = "1998-06-11", 40
+
+
+def _on_day(rows: DataFrame, day: Column) -> DataFrame:
+    time = F.make_dt_interval(F.lit(0), F.hour("ts"), F.minute("ts"), F.second("ts").cast("decimal(18,6)"))
+    return rows.withColumn("ts", day.cast("timestamp_ntz") + time)
+
+
+def _day_number() -> Column:
+    return F.date_diff("ts", F.lit("1970-01-01").cast("date"))
+
+
+def folded(rows: DataFrame) -> DataFrame:
+    """The same trades on a few days, for jobs that write a file for each day."""
+    first = F.lit(FIRST_DAY).cast("date")
+    return _on_day(rows, F.date_add(first, F.pmod(_day_number(), F.lit(FOLDED_DAYS)).cast("int")))
+
+
+def moved_to_today(rows: DataFrame) -> DataFrame:
+    """The same trades yesterday, today and tomorrow, a third each, by the session's current date."""
+    return _on_day(rows, F.date_add(F.current_date(), F.pmod(_day_number(), F.lit(3)).cast("int") - 1))

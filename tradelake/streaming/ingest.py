@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections import defaultdict
 from threading import Event
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener, StreamingQuery
 
 from tradelake.operators.slices import to_raw
-from tradelake.schemas import RECORD
-from tradelake.sources.raw import write_batch
+from tradelake.schemas import DAY_PARTS, RECORD
+from tradelake.sources.raw import write_batch, write_batch_into
+from tradelake.sources.tables import CatalogTable
+from tradelake.streaming.ledger import Ledger
 
 METRICS = "ingest"
 
@@ -47,23 +49,37 @@ def start_ingest(
     record: T.StructType = RECORD,
     ts: str = "timestamp",
     trigger: dict | None = None,
+    ledger: Ledger | None = None,
+    native: bool = False,
 ) -> StreamingQuery:
     """Append a message stream to the raw table, each message exactly once.
 
     `stream` names the topic; every topic has a checkpoint of its own and all share one table.
     Plain Parquet's own streaming sink numbers batches per table and would drop the batches of a
     second checkpoint as already written, so each batch is written to a folder named after its
-    stream and number. Other formats (`iceberg`) append natively to the table called `table`.
+    stream and number. With `fmt="table"`, `table` names a catalog table of file format that has the batch
+    as its last partition column, and batches go there in the same way. With a `ledger`, each
+    batch notes the days it brought.
+
+    `native`, and any other format (`iceberg`), appends by the format's own sink to the partitioned catalog table
+    called `table`, which must exist. For file formats that takes one checkpoint per table.
     """
     rows = to_raw(decode(messages, record, METRICS), ts)
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
-    if fmt != "parquet":
-        return writer.format(fmt).toTable(table)
+    if native or fmt not in ("parquet", "table"):
+        target = CatalogTable(messages.sparkSession, table)
+        return writer.format(fmt).partitionBy(*target.partition_by).toTable(table)
 
     def write(batch: DataFrame, number: int) -> None:
-        write_batch(batch, table, f"{stream}-{number:08d}")
+        name = f"{stream}-{number:08d}"
+        seen = Observation()
+        days = F.collect_set(F.struct(F.make_date(*DAY_PARTS).alias("day"))).alias("days")
+        put = write_batch_into if fmt == "table" else write_batch
+        put(batch.observe(seen, F.count(F.lit(1)).alias("rows"), days), table, name)
+        if ledger and seen.get["rows"]:
+            ledger.add(name, sorted((d["day"] for d in seen.get["days"]), key=str), seen.get["rows"])
 
     return writer.foreachBatch(write).start()
 
