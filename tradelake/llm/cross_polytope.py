@@ -30,6 +30,8 @@ SAMPLE = 256
 # Distinct vectors that one block of a bucket has, about.
 BLOCK_VECTORS = 4096
 _TURNS = 3
+# Differences beyond this, or below its inverse, are scaled before they are squared.
+_LARGE = 2.0**400
 
 
 class Index(NamedTuple):
@@ -97,9 +99,18 @@ def closeness(vectors: np.ndarray, index: Index, table: int) -> np.ndarray:
 
 
 def distances(block: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Of all columns of `block`; squares are summed in the components' order, however many columns there are."""
-    with np.errstate(over="ignore"):
-        return np.sqrt(np.add.accumulate((block - query[:, None]) ** 2, axis=0)[-1])
+    """Of all columns of `block`; squares are summed in the components' order, however many columns there are.
+
+    Columns whose squares would overflow or vanish are scaled by a power of two first.
+    """
+    apart = block - query[:, None]
+    most = np.abs(apart).max(axis=0, initial=0)
+    odd = (most > _LARGE) | (most < 1 / _LARGE) & (most > 0)
+    scale = np.ones(len(most))
+    if odd.any():
+        scale[odd] = np.exp2(np.floor(np.log2(most[odd])))
+        apart = apart / scale
+    return np.sqrt(np.add.accumulate(apart**2, axis=0)[-1]) * scale
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
