@@ -52,6 +52,25 @@ def without_repeats(docs, length):
     return out
 
 
+def without_passages(docs, length, least_words, long):
+    """Repeated runs go if they have `least_words` words or `long` bytes."""
+    raws = [(t or "").encode() for _, t in docs]
+    seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
+    out = []
+    for (ident, _), raw in zip(docs, raws):
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if seen[raw[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        kept, at = b"", 0
+        for run in re.finditer(b"\1+", bytes(gone)):
+            part = raw[run.start() : run.end()]
+            if len(part) >= long or len(re.findall(rb"[^\x20\x09-\x0D]+", part)) >= least_words:
+                kept, at = kept + raw[at : run.start()], run.end()
+        out.append((ident, kept + raw[at:]))
+    return out
+
+
 def contamination(docs, items, size=10):
     out = []
     for ident, text in docs:
