@@ -18,7 +18,7 @@ from tradelake.operators.slices import day_slice
 from tradelake.operators.summaries import SUMMARIES, Summary, day_totals, roll_up
 from tradelake.operators.upsert import upsert_into
 from tradelake.schemas import BRONZE, SILVER, TABLES, TableSpec
-from tradelake.session import staged
+from tradelake.session import observed, staged
 from tradelake.sources import catalog, messages
 from tradelake.sources.raw import read_raw, read_raw_table
 from tradelake.sources.tables import FILE_FORMATS, CatalogTable, FolderTable, PartitionedTable
@@ -119,7 +119,7 @@ def clean_days(
     passing = F.coalesce(passes(rules), F.lit(False))
     rows = lake.raw(days).observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(passing).alias("kept"))
     with staged(latest_per_key(clean(rows, rules), key), "updates") as updates:
-        read, kept = (seen.get.get(c, 0) for c in ("read", "kept"))
+        read, kept = (observed(seen).get(c, 0) for c in ("read", "kept"))
         if not read:
             return StageCounts(0, 0, 0)
         deduplicated = updates.count()

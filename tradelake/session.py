@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +79,17 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         paths.remove(df.sparkSession, path)
 
 
+def observed(seen: Observation) -> dict:
+    """What an action observed; nothing where its input was known to be empty and the plan left the observation out."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        # The bindings take a row without columns for a mistake.
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return {}
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows of a schema, in a form whose size the planner knows."""
     return spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

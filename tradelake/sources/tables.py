@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.schemas import TableSpec
-from tradelake.session import empty
+from tradelake.session import empty, observed
 from tradelake.sources import paths
 from tradelake.sources.layout import by_partition
 
@@ -78,7 +78,7 @@ class PartitionedTable(ABC):
         seen = Observation()
         parts = F.collect_set(F.struct(*self.partition_by)).alias("parts")
         self._overwrite(df.select(self.schema.fieldNames()).observe(seen, F.count(F.lit(1)).alias("rows"), parts))
-        written = {tuple(row) for row in seen.get["parts"] or ()}
+        written = {tuple(row) for row in observed(seen).get("parts") or ()}
         gone = set(touched) - written
         if gone:
             self._drop(gone & self.partitions())

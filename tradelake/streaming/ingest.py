@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQueryListener, StreamingQuery
 
 from tradelake.operators.slices import to_raw
 from tradelake.schemas import DAY_PARTS, RECORD
+from tradelake.session import observed
 from tradelake.sources.raw import write_batch, write_batch_into
 from tradelake.sources.tables import CatalogTable
 from tradelake.streaming.ledger import Ledger
@@ -78,8 +79,9 @@ def start_ingest(
         days = F.collect_set(F.struct(F.make_date(*DAY_PARTS).alias("day"))).alias("days")
         put = write_batch_into if fmt == "table" else write_batch
         put(batch.observe(seen, F.count(F.lit(1)).alias("rows"), days), table, name)
-        if ledger and seen.get["rows"]:
-            ledger.add(name, sorted((d["day"] for d in seen.get["days"]), key=str), seen.get["rows"])
+        brought = observed(seen)
+        if ledger and brought.get("rows"):
+            ledger.add(name, sorted((d["day"] for d in brought["days"]), key=str), brought["rows"])
 
     return writer.foreachBatch(write).start()
 
