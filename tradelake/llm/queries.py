@@ -68,6 +68,7 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         spans_size("spans").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("spans") > 0).alias("repeated"),
     )
 
 
