@@ -250,6 +250,47 @@ def test_classifiers_on_held_out_rows(spark):
         assert right.agg(F.avg("ok")).first()[0] >= least
 
 
+def test_co_training_exchanges_labels_over_all_unlabelled_rows(spark, monkeypatch):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    known = {r.doc_id for r in labels.collect()}
+    kept = {}
+    train = co_training.train
+    monkeypatch.setattr(co_training, "train", lambda *given: kept.update(model=train(*given), given=given) or kept["model"])
+    # Without a name or with a repeated one, rows take part like all others.
+    extra = docs.limit(40).withColumn("doc_id", F.lit(None).cast("long"))
+    docs = docs.union(extra).union(extra)
+    co_training.fit_on(docs, labels, confidence=0.8)
+    labelled, y, calibrate, _ = kept["given"]
+    rows = [r for r in docs.collect() if r.doc_id not in known]
+    assert len(rows) > 80
+    data, offsets = co_training.tb.column_bytes(co_training.pa.array([r.text or "" for r in rows]))
+    free = (
+        co_training.content_features(data, offsets).astype(np.float32).astype(float),
+        co_training.metadata_features(
+            *(co_training.pa.array([r[c] for r in rows]) for c in co_training.METADATA)
+        ).astype(np.float32).astype(float),
+    )
+    # The same steps with all rows in one place, each sure row as a row of its own.
+    views = [co_training.logistic.fit(x[~calibrate], y[~calibrate]) for x in labelled]
+    for _ in range(co_training.ROUNDS):
+        told = [co_training.logistic.sigmoid(co_training.logistic.logits(free[v], views[v])) for v in (0, 1)]
+        learned = []
+        for v in (0, 1):
+            p = told[1 - v]
+            sure = (p >= 0.8) | (p <= 0.2)
+            assert sure.any()
+            n = (~calibrate).sum()
+            weight = np.r_[np.ones(n), np.full(sure.sum(), min(0.3, 0.5 * n / sure.sum()))]
+            x = np.r_[labelled[v][~calibrate], free[v][sure]]
+            learned.append(co_training.logistic.fit(x, np.r_[y[~calibrate], p[sure].round()], weight))
+        views = learned
+    for v in (0, 1):
+        assert np.abs(views[v] - kept["model"].views[v]).max() < 0.1
+        own, all_in_one = (co_training.logistic.sigmoid(co_training.logistic.logits(free[v], b)) for b in (kept["model"].views[v], views[v]))
+        assert np.abs(own - all_in_one).max() < 0.02
+
+
 def test_classifiers_on_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string"
     rows = [(1, None, None, None, None, "x"), (None, "", "en", "s", 0, "x"), (2, "word " * 20_000, "en", "s", 9, "x")] * 2

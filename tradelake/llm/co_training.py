@@ -2,14 +2,19 @@
 
 One view is the text's content (shares of kinds of characters, repeated words and lines, hashed
 words), the other the page's metadata (source, language, length). Starting from labelled documents,
-each round every view's classifier labels the pool documents it is most sure of, and the other
-view learns from them. At the end each view is calibrated, on labelled documents that it has not
-learned from, and a last regression combines the calibrated views.
+each round every view's classifier labels the unlabelled documents it is most sure of, in the whole
+corpus, and the other view learns from them. At the end each view is calibrated, on labelled
+documents that it has not learned from, and a last regression combines the calibrated views.
+
+Views of the unlabelled documents are written once. A Newton step on them is one pass: tasks add up
+gradient and curvature of both views, Spark sums those by slot, and the driver gets as many numbers as
+the two views have coefficients and pairs of them, whatever the corpus. Sums are of fixed point, so
+their order does not matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from typing import NamedTuple
 
@@ -21,15 +26,22 @@ from pyspark.sql import functions as F
 from tradelake.llm import logistic, samples
 from tradelake.llm import textbytes as tb
 from tradelake.llm.near_dup import shingles
+from tradelake.llm.scratch import Scratch
 
-# Bounds of the training sample: labelled documents of a class, and documents of the pool.
+# Bound of the training sample: labelled documents of a class. Unlabelled ones have none.
 PER_CLASS = 2000
-POOL = 4000
 
-ROUNDS = 4
-# A pseudo-label is given from this confidence on, and counts as this share of a label.
+# Exchanges of pseudo-labels, and Newton steps on them at most; a shorter move ends the steps.
+ROUNDS = 3
+STEPS = 4
+SMALL_MOVE = 0.02
+# A pseudo-label is given from this confidence on. It counts as this share of a label at most; all of
+# them together count as this share of the labels.
 CONFIDENCE = 0.95
 PSEUDO_WEIGHT = 0.3
+PSEUDO_SHARE = 0.5
+# Units of the fixed-point sums.
+UNIT = 2.0**20
 
 WORD_BUCKETS = 128
 SOURCE_BUCKETS = 64
@@ -124,28 +136,57 @@ class Model(NamedTuple):
         return logistic.sigmoid(logistic.logits(own, self.combined)), logistic.sigmoid(own)
 
 
+class Told(NamedTuple):
+    """Sure rows of one view: their number, and gradient and curvature of the view's fit to them."""
+
+    count: float
+    gradient: np.ndarray
+    curve: np.ndarray
+
+
+def told_sums(
+    features: tuple[np.ndarray, np.ndarray],
+    views: list[np.ndarray],
+    teachers: list[np.ndarray],
+    confidence: float,
+) -> list[Told]:
+    """What each view learns at its coefficients `views` from the rows that the other's teacher is sure of."""
+    out = []
+    for v in range(2):
+        p = logistic.sigmoid(logistic.logits(features[1 - v], teachers[1 - v]))
+        sure = (p >= confidence) | (p <= 1 - confidence)
+        x = logistic.with_intercept(features[v][sure])
+        out.append(Told(float(sure.sum()), *logistic.curvature(x, np.round(p[sure]), np.ones(len(x)), views[v])))
+    return out
+
+
 def train(
     labelled: tuple[np.ndarray, np.ndarray],
     labels: np.ndarray,
     calibrate: np.ndarray,
-    pool: tuple[np.ndarray, np.ndarray],
+    exchange: Callable[[list[np.ndarray], list[np.ndarray]], list[Told]],
 ) -> Model:
-    """`calibrate` marks labelled rows that are kept for calibration and the combination."""
+    """`calibrate` marks labelled rows that are kept for calibration and the combination.
+
+    `exchange(views, teachers)` gives `told_sums` over all unlabelled rows.
+    """
     learn = ~calibrate
-    given = [np.full(len(pool[0]), np.nan) for _ in range(2)]
-    views = [np.zeros(x.shape[1] + 1) for x in labelled]
+    known = [logistic.with_intercept(x[learn]) for x in labelled]
+    views = [logistic.fit(x[learn], labels[learn]) for x in labelled]
     for _ in range(ROUNDS):
-        for v in range(2):
-            told = ~np.isnan(given[v])
-            x = np.concatenate([labelled[v][learn], pool[v][told]])
-            y = np.concatenate([labels[learn], given[v][told]])
-            w = np.concatenate([np.ones(learn.sum()), np.full(told.sum(), PSEUDO_WEIGHT)])
-            views[v] = logistic.fit(x, y, w)
         # Each view tells the other one what it is sure of.
-        for v in range(2):
-            p = logistic.sigmoid(logistic.logits(pool[v], views[v]))
-            sure = (p >= CONFIDENCE) | (p <= 1 - CONFIDENCE)
-            given[1 - v] = np.where(sure, np.round(p), np.nan)
+        teachers = list(views)
+        for _ in range(STEPS):
+            longest = 0.0
+            for v, told in enumerate(exchange(views, teachers)):
+                gradient, curve = logistic.curvature(known[v], labels[learn], np.ones(len(known[v])), views[v])
+                weight = min(PSEUDO_WEIGHT, PSEUDO_SHARE * len(known[v]) / max(told.count, 1.0))
+                views[v], move = logistic.newton_step(
+                    views[v], gradient + weight * told.gradient, curve + weight * told.curve, 1.0
+                )
+                longest = max(longest, move)
+            if longest < SMALL_MOVE:
+                break
     own = [logistic.logits(labelled[v][calibrate], views[v])[:, None] for v in range(2)]
     calibration = tuple(logistic.fit(x, labels[calibrate], ridge=0.01) for x in own)
     model = Model(tuple(views), calibration, np.array([1.0, 1.0, 0.0]))
@@ -164,16 +205,68 @@ def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, (content_features(data, offsets), meta)
 
 
+def _lists(x: np.ndarray) -> pa.Array:
+    ends = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+    return pa.ListArray.from_arrays(ends, pa.array(x.astype(np.float32).ravel()))
+
+
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1).astype(np.float64)
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, views in _views(batches):
-        lists = [
-            pa.array(list(x.astype(np.float32)), pa.list_(pa.float32())) for x in views
-        ]
+        lists = [_lists(x) for x in views]
         yield pa.RecordBatch.from_arrays(
             [part.column("id"), part.column("label"), *lists], ["id", "label", "content", "metadata"]
         )
 
 
+def _told_slots(batches: Iterator[pa.RecordBatch], state) -> Iterator[pa.RecordBatch]:
+    """One task's `told_sums`, as (`slot`, `value`) rows in fixed point."""
+    total = None
+    for batch in batches:
+        if batch.num_rows:
+            features = tuple(_matrix(batch.column(c)) for c in ("content", "metadata"))
+            flat = np.concatenate([_flat(t) for t in told_sums(features, *state.value)])
+            total = flat if total is None else total + flat
+    if total is not None:
+        value = np.rint(total * UNIT).astype(np.int64)
+        slot = np.flatnonzero(value)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(slot.astype(np.int32)), pa.array(value[slot])], ["slot", "value"]
+        )
+
+
+def _flat(told: Told) -> np.ndarray:
+    return np.concatenate([[told.count], told.gradient, told.curve[np.triu_indices(len(told.gradient))]])
+
+
+def _unflat(values: np.ndarray, width: int) -> Told:
+    upper = np.zeros((width, width))
+    upper[np.triu_indices(width)] = values[1 + width :]
+    return Told(float(values[0]), values[1 : 1 + width], upper + np.triu(upper, 1).T)
+
+
+def _exchange(
+    views: list[np.ndarray], teachers: list[np.ndarray], free: DataFrame, confidence: float
+) -> list[Told]:
+    """`told_sums` over the table of unlabelled documents' features."""
+    shared = free.sparkSession.sparkContext.broadcast((views, teachers, confidence))
+    slots = (
+        free.mapInArrow(partial(_told_slots, state=shared), "slot int, value long")
+        .groupBy("slot")
+        .agg(F.sum("value").alias("value"))
+        .toPandas()
+    )
+    widths = [len(b) for b in views]
+    sizes = [1 + n + n * (n + 1) // 2 for n in widths]
+    values = np.zeros(sum(sizes))
+    values[slots["slot"].to_numpy(np.int64)] = slots["value"].to_numpy(np.float64) / UNIT
+    shared.destroy()
+    return [_unflat(part, n) for part, n in zip(np.split(values, [sizes[0]]), widths)]
+
+
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     own: Model = model.value
     for part, views in _views(batches):
@@ -206,40 +299,37 @@ def fit_on(
     metadata: tuple[str, str, str] = METADATA,
     label_column: str = "quality",
     per_class: int = PER_CLASS,
-    pool: int = POOL,
+    confidence: float = CONFIDENCE,
 ) -> Model:
-    """Train on bounded samples: `per_class` labelled rows of each class, `pool` rows without label."""
+    """Train on `per_class` labelled rows of each class and on all rows whose id has no label.
+
+    Rows without an id are unlabelled. Of labelled rows that share an id, one counts; repeated
+    unlabelled rows all do. Ids that are in `labels`, the held-out ones too, are not told labels. Where
+    labels of a class are missing, the model scores a half.
+    """
+    scratch = Scratch(docs.sparkSession, "co-training")
     picked = samples.labelled_ids(labels, id_column, label_column, per_class)
     known = labels.select(F.col(f"`{id_column}`").alias("id")).distinct()
-    free = (
-        docs.select(F.col(f"`{id_column}`").alias("id"))
-        .filter("id is not null")
-        .join(known, "id", "left_anti")
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(pool)
-    )
-    wanted = picked.select("id", F.col("label").cast("int")).union(
-        free.select("id", F.lit(-1).cast("int"))
-    )
     rows = _rows(docs, id_column, text_column, metadata)
-    # At most 2 * per_class + pool ids, whatever the tables' size.
-    chosen = rows.join(F.broadcast(wanted), "id")
     kind = rows.schema["id"].dataType.simpleString()
-    found = chosen.mapInArrow(
-        _features, f"id {kind}, label int, content array<float>, metadata array<float>"
-    )
+    schema = f"id {kind}, label int, content array<float>, metadata array<float>"
+    # At most 2 * per_class ids, whatever the tables' size.
+    chosen = rows.join(F.broadcast(picked.select("id", F.col("label").cast("int"))), "id")
+    found = chosen.mapInArrow(_features, schema)
     found = found.dropDuplicates(["id"]).toPandas().sort_values("id", ignore_index=True)
-    wide = lambda c, part: np.array(found[c][part].tolist(), np.float64).reshape(
-        int(part.sum()), -1 if part.sum() else len(found[c].iloc[0]) if len(found) else 1
-    )
-    told = (found["label"] >= 0).to_numpy()
-    y = found["label"][told].to_numpy(np.float64)
+    y = found["label"].to_numpy(np.float64)
     calibrate = np.arange(len(y)) % 4 == 0
-    views = [(wide(c, told), wide(c, ~told)) for c in ("content", "metadata")]
     if len(set(y[calibrate])) < 2 or len(set(y[~calibrate])) < 2:
         flat = tuple(np.zeros(n) for n in _widths())
         return Model(flat, (np.zeros(2), np.zeros(2)), np.zeros(3))
-    return train(tuple(v[0] for v in views), y, calibrate, tuple(v[1] for v in views))
+    labelled = tuple(np.array(found[c].tolist(), np.float64) for c in ("content", "metadata"))
+    # Features are smaller than texts, so the join moves those where the labels are too many to send.
+    everyone = rows.withColumn("label", F.lit(None).cast("int")).mapInArrow(_features, schema)
+    unlabelled = everyone.join(known, "id", "left_anti").select("content", "metadata")
+    free, path = scratch.table(unlabelled, "unlabelled")
+    model = train(labelled, y, calibrate, partial(_exchange, free=free, confidence=confidence))
+    scratch.drop(path)
+    return model
 
 
 def _widths() -> tuple[int, int]:
