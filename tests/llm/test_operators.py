@@ -22,6 +22,7 @@ from tradelake.llm import (
     perfect_hash,
     quality_rules,
     samples,
+    shards,
     suffix_dedup,
     token_files,
     toxic_crf,
@@ -108,6 +109,39 @@ def test_warc_round_trip_is_deterministic(spark):
     assert warc.read_archives(spark, folder).count() == 0
 
 
+def test_warc_with_clashing_columns_and_a_long_record(spark):
+    long = "long record " * 200_000
+    rows = [(1, "u", "a" * 200, "x", 7), (2, "v", "a" * 200, None, 8), (3, None, long, "y", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, kind int")
+    folder = Scratch(spark, "warc-test").path("archives")
+    manifest = warc.write_archives(df, folder, roll_bytes=1000, shard_number=2)
+    assert sum(f.records for f in manifest) == 3
+    found = {r.page_id: r for r in warc.read_archives(spark, folder).collect()}
+    assert [found[i].record_type for i in (1, 2, 3)] == ["response", "revisit", "response"]
+    assert found[2].refers_to == 1 and found[3].payload_bytes == len(long)
+    assert bytes(found[3].payload).decode() == long
+
+
+def test_shards_split_the_rows_of_a_hot_key_in_order(spark):
+    far = 2**62
+    rows = [(None, i * 7919 % 1000) for i in range(300)] + [(far, i) for i in range(300)]
+    rows += [(far + i, 5) for i in range(1, 150)] + [(i - 75, 0) for i in range(150)] + [(3, 3)] * 200
+    df = spark.createDataFrame(rows, "key long, tie long")
+    sharded = shards.with_shard(df, "key", 8, tie=F.col("tie"))
+    got = [(r.shard, r.key is not None, r.key or 0, r.tie) for r in sharded.collect()]
+    by_key = [g[0] for g in sorted(got, key=lambda g: g[1:])]
+    assert by_key == sorted(by_key)
+    different = {g[1:]: g[0] for g in got}
+    sizes = np.bincount(list(different.values()), minlength=8)
+    assert sizes.min() > 0 and sizes.max() < 2.5 * len(different) / 8
+    assert len({s for k, s in different.items() if not k[0]}) > 1
+    tasks = shards.in_shards(sharded, 8, "key", "tie").select("shard", F.spark_partition_id().alias("task"))
+    assert all(r.shard == r.task for r in tasks.distinct().collect())
+    whole = {r.key: r.shard for r in shards.with_shard(df, "key", 8).distinct().collect()}
+    assert len(whole) == len({k for k, _ in rows})
+    assert shards.with_shard(df.limit(0), "key", 8, tie=F.col("tie")).count() == 0
+
+
 # -- 3
 
 

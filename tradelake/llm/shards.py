@@ -19,29 +19,51 @@ from tradelake.sources import paths
 KEYS_PER_SHARD = 64
 
 
-def with_shard(rows: DataFrame, key: str, shards: int, among: DataFrame | None = None) -> DataFrame:
-    """Add `shard`, the range of `key` that a row lies in; ranges have about equal row numbers.
-
-    Bounds come from the keys of `among` (default: the rows) with the smallest hashes: a
-    sample of a size set by the number of shards, that is the same in every run. Nulls come first.
+def with_shard(
+    rows: DataFrame,
+    key: str,
+    shards: int,
+    among: DataFrame | None = None,
+    tie: Column | None = None,
+) -> DataFrame:
+    """Add `shard`, the range of (`key`, `tie`) that a row lies in; ranges have about as many different ones.
+
+    Bounds come from the pairs of `among` (default: the rows) with the smallest hashes: a sample of a
+    size set by the number of shards, that is the same in every run. Each pair counts once, so
+    a frequent one does not fill the sample. Nulls come first. `tie` (long, never null) splits the rows of
+    one key, or those without any, over shards; without it they lie together.
     """
     among = rows if among is None else among
+    tie = F.lit(0).cast("long") if tie is None else tie
     picked = (
-        among.select(F.col(key).alias("key"))
-        .filter("key is not null")
-        .orderBy(F.xxhash64("key"), "key")
+        among.select(F.col(key).cast("long").alias("key"), tie.alias("tie"))
+        .distinct()
+        .orderBy(F.xxhash64("key", "tie"), "key", "tie")
         .limit(KEYS_PER_SHARD * shards)
     )
-    keys = np.sort(np.array([r.key for r in picked.collect()], np.int64))
-    bounds = keys[[len(keys) * i // shards for i in range(1, shards)]] if len(keys) else keys
+    pairs = sorted((r.key is not None, r.key or 0, r.tie) for r in picked.collect())
+    bounds = [pairs[len(pairs) * i // shards] for i in range(1, shards)] if pairs else []
+    known, keys, ties = (np.array([b[i] for b in bounds], np.int64) for i in range(3))
 
     @F.pandas_udf("int")
-    def of(ids: pd.Series) -> pd.Series:
-        known = ids.notna()
-        at = np.searchsorted(bounds, ids.where(known, 0).to_numpy(np.int64), "right")
-        return pd.Series(np.where(known, at, 0).astype(np.int32))
-
-    return rows.withColumn("shard", of(F.col(key).cast("long")))
+    def of(has: pd.Series, number: pd.Series, second: pd.Series) -> pd.Series:
+        # Bounds go before the rows that equal them: a row's shard is the number of bounds so far.
+        row = np.arange(len(known) + len(has)) >= len(known)
+        order = np.lexsort(
+            (
+                row,
+                np.concatenate([ties, second.to_numpy(np.int64)]),
+                np.concatenate([keys, number.to_numpy(np.int64)]),
+                np.concatenate([known, has.to_numpy(np.int64)]),
+            )
+        )
+        shard = np.empty(len(order), np.int32)
+        shard[order] = np.cumsum(~row[order])
+        return pd.Series(shard[len(known) :])
+
+    number = F.col(key).cast("long")
+    # Apart, as a null would turn a column of whole numbers into one of floats.
+    return rows.withColumn("shard", of(number.isNotNull(), F.coalesce(number, F.lit(0)), tie))
 
 
 def shard_count(spark: SparkSession, size: int, target: int, least: int) -> int:
@@ -51,8 +73,8 @@ def shard_count(spark: SparkSession, size: int, target: int, least: int) -> int:
 
 
 def in_shards(rows: DataFrame, shards: int, *order: str | Column) -> DataFrame:
-    """Rows of a shard together and in order; a task may have several shards, one after another."""
-    return rows.repartition(shards, "shard").sortWithinPartitions("shard", *order)
+    """A task for each shard, with its rows in order."""
+    return rows.repartitionById(shards, "shard").sortWithinPartitions("shard", *order)
 
 
 class OutputFile:

@@ -229,12 +229,12 @@ def write_archives(
         .filter("n > 1 and first is not null")
         .select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
     )
-    salted = long.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(_SALTS)).cast("int"))
+    # Rows that repeat an id and a payload, or a payload without id, share one decision.
+    salted = long.distinct().withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(_SALTS)).cast("int"))
     revisits = (
         salted.join(firsts, ["digest", "salt"])
         .filter("page_id is null or page_id != first")
         .select("page_id", "digest", "first")
-        .distinct()
     )
 
     if shard_number is None:
@@ -253,7 +253,9 @@ def write_archives(
             "first",
         )
     )
-    merged = shards.with_shard(merged, "page_id", shard_number, rows)
+    # In the order of digests, so that decisions and payloads of one id stay together when it is split.
+    tie = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
+    merged = shards.with_shard(merged, "page_id", shard_number, rows, tie)
     ordered = shards.in_shards(merged, shard_number, "page_id", "digest", "kind", "url")
     written = ordered.mapInArrow(
         partial(_write, folder=folder, roll_bytes=roll_bytes, date=date), _MANIFEST
