@@ -1,14 +1,17 @@
 from __future__ import annotations
 
+import itertools
 import os
 import random
 import re
+import struct
 import zlib
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -325,6 +328,27 @@ def test_co_training_exchanges_labels_over_all_unlabelled_rows(spark, monkeypatc
         assert np.abs(own - all_in_one).max() < 0.02
 
 
+def test_marginals_equal_sums_over_all_taggings():
+    rng = np.random.default_rng(8)
+    lengths = [1, 6, 3, 1, 9, 2]
+    total = sum(lengths)
+    begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    features = rng.integers(0, 16, (3, total))
+    model = toxic_crf.Model(rng.normal(0, 1.5, (3, 16)), -0.4, rng.normal(0, 1.5, (2, 2)), np.zeros(3))
+    at = np.arange(total)
+    toks = toxic_crf.Tokens(np.zeros(total, int), at, at + 1, at, features, begins)
+    wanted = []
+    for begin, length in zip(begins, lengths):
+        score = [model.bias + sum(model.weights[k][features[k, begin + t]] for k in range(3)) for t in range(length)]
+        mass, ones = 0.0, np.zeros(length)
+        for tags in itertools.product((0, 1), repeat=length):
+            moves = sum(model.moves[a, b] for a, b in zip(tags, tags[1:]))
+            weight = np.exp(np.dot(tags, score) + moves)
+            mass, ones = mass + weight, ones + weight * np.array(tags)
+        wanted.extend(ones / mass)
+    assert np.allclose(toxic_crf.marginals(model, toks), wanted, atol=1e-9)
+
+
 def test_classifiers_on_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string"
     rows = [(1, None, None, None, None, "x"), (None, "", "en", "s", 0, "x"), (2, "word " * 20_000, "en", "s", 9, "x")] * 2
@@ -412,6 +436,41 @@ def test_pieces_of_several_texts_make_no_added_token(tmp_path):
 # -- 9
 
 
+def plain_lookup_table(weights, size):
+    """Whole preference lists, and turns taken one by one."""
+    def number(name, salt, among):
+        return int.from_bytes(blake2b(f"{salt}:{name}".encode(), digest_size=8).digest(), "big") % among
+
+    wishes = {}
+    for name in sorted(weights):
+        first, skip = number(name, "offset", size), number(name, "skip", size - 1) + 1
+        wishes[name] = [(first + i * skip) % size for i in range(size)]
+        assert len(set(wishes[name])) == size
+    owner = {}
+    while len(owner) < size:
+        for name in sorted(weights):
+            for _ in range(weights[name]):
+                left = [slot for slot in wishes[name] if slot not in owner]
+                if left:
+                    owner[left[0]] = name
+    return [owner[slot] for slot in range(size)]
+
+
+@pytest.mark.parametrize("weights", [{"a": 1}, {"b": 1, "a": 1, "c": 1}, {"x": 3, "y": 1, "z": 2}])
+def test_maglev_equals_turns_over_whole_preference_lists(spark, weights):
+    assert maglev.lookup_table(weights, 101) == plain_lookup_table(weights, 101)
+    ids = [0, 1, -5, 2**62, None, 7, 7, *range(100, 160)]
+    df = spark.createDataFrame([(i, "old") for i in ids], "doc_id long, shard string")
+    got = [(r.doc_id, r.slot, r.shard) for r in maglev.place(df, weights, size=101).collect()]
+    table, wanted = plain_lookup_table(weights, 101), []
+    for i in ids:
+        code = 42 if i is None else xxhash.xxh64(struct.pack("<q", i), 42).intdigest()
+        code = xxhash.xxh64(struct.pack("<i", i is None), code).intdigest()
+        slot = (code - (code >> 63 << 64)) % 101
+        wanted.append((i, slot, table[slot]))
+    assert by_text(got) == by_text(wanted)
+
+
 def test_maglev_is_even_and_moves_few_keys(spark):
     shards = [f"s{i}" for i in range(7)]
     table = maglev.lookup_table(shards, 1009)
