@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from helpers import at, plan, record
@@ -20,6 +21,7 @@ from tradelake.operators.paging import (
 )
 from tradelake.operators.quality import clean
 from tradelake.schemas import RECORD
+from tradelake.session import scratch_dir
 from tradelake.sources import messages
 from tradelake.sources.day_files import TIME_FORMAT, day_file, read_day_file, write_day_file
 from tradelake.streaming.ingest import decode, ingest_available
@@ -148,6 +150,50 @@ def test_envelope_text(spark):
     assert sent[0]["timestamp"] == "2025-06-20 10:00:00"
 
 
+@pytest.mark.parametrize("order", [["ts"], ["x"], ["text"], ["x", "text"]])
+def test_pages_follow_the_order(spark, order):
+    """Pages cut at range bounds of any type, with NULL, NaN, ties and a repeated hour, are whole."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = spark.range(0, 4000, 1, 4).selectExpr(
+            "timestamp_seconds(1762063200 + id * 2) AS ts",
+            "cast(id AS string) AS text",
+            "if(id % 7 = 0, double('NaN'), if(id % 5 = 0, null, id * 1.5)) AS x",
+        )
+        position = {r.text: r.row_index for r in with_row_index(rows, order).collect()}
+        made = envelopes(rows, order, DAY, page_size=30).collect()
+        late = page_slice(rows, order, 2999, 77).collect()
+        last = page_slice(rows, order, 3999, 77).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    offsets = [int(bytes(m.key).decode().rpartition("_")[2]) for m in made]
+    assert sorted(offsets) == list(range(0, 4000, 30))
+    for offset, message in zip(offsets, made):
+        sent = [position[r["text"]] for r in json.loads(bytes(message.value))]
+        assert sent == list(range(offset, min(offset + 30, 4000)))
+    assert [position[r.text] for r in late] == list(range(2999, 3076))
+    assert [position[r.text] for r in last] == [3999]
+
+
+def test_pages_move_the_rows_once_and_leave_no_copy(spark):
+    scratch = Path(scratch_dir(spark))
+    before = set(scratch.iterdir())
+    rows = numbers(spark, 30_000, 8).withColumn("k", F.expr("if(id % 3 = 0, 0, id)"))
+    made = envelopes(rows, ["k"], DAY)
+    sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 300 and max(sizes) < 2 * 300 / 8
+    made.collect()
+    text = plan(made).split("Initial Plan")[0]
+    assert text.count("Exchange") == 1 and "Join" not in text
+    page_slice(rows, ["k"], 20_000).collect()
+    assert set(scratch.iterdir()) == before
+
+
+def test_pages_of_no_rows(spark):
+    assert envelopes(numbers(spark, 10).limit(0), ["k"], DAY).collect() == []
+
+
 def test_missing_values_on_the_wire(spark):
     """Bare NaN tokens come back as what the quality rules reject; other text is untouched."""
     rows = spark.createDataFrame(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 from itertools import accumulate
@@ -10,9 +10,11 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradelake.functions.calendar import message_key
 from tradelake.session import stage
+from tradelake.sources import paths
 from tradelake.sources.day_files import MICROS
 from tradelake.sources.layout import UNKNOWN_BYTES, estimated_bytes
 
@@ -41,20 +43,13 @@ def range_count(df: DataFrame) -> int:
     return max(configured, size // _RANGE_BYTES)
 
 
-def with_row_index(
-    df: DataFrame, order_by: Sequence[str], name: str = "row_index", partitions: int | None = None
-) -> DataFrame:
-    """Add the 0-based position of each row in the given order, without gathering the rows.
+def _placed(df: DataFrame, order_by: Sequence[str], count: int) -> tuple[DataFrame, str, list[int]]:
+    """The rows in order, written once with their range and their place in it; each range's first position.
 
-    The rows are range partitioned and written once with their place inside the partition; a
-    partition's first position is the sum of the sizes before it. The scan position breaks ties,
-    so equal rows, however many, spread over several partitions. It is stable for a table scan;
-    stage other inputs first.
+    The scan position breaks ties, so equal rows, however many, spread over several ranges.
     """
-    spark = df.sparkSession
-    count = partitions or range_count(df)
     keys = [*order_by, "_tie"]
-    placed, _ = stage(
+    placed, path = stage(
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(count, *keys)
         .sortWithinPartitions(*keys)
@@ -63,30 +58,84 @@ def with_row_index(
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))),
         "row-index",
     )
-    # One row per partition, so small whatever the table's size.
+    # One row per range, so small whatever the table's size.
     sizes = dict(placed.groupBy("_part").count().collect())
-    starts = accumulate((sizes.get(part, 0) for part in range(count)), initial=0)
-    firsts = F.broadcast(
-        spark.createDataFrame(
-            [(part, start) for part, start in zip(range(count), starts)], "_part int, _first long"
-        )
-    )
+    return placed, path, list(accumulate((sizes.get(part, 0) for part in range(count)), initial=0))
+
+
+def _positioned(placed: DataFrame, starts: Sequence[int], name: str) -> DataFrame:
+    firsts = placed.sparkSession.createDataFrame(list(enumerate(starts[:-1])), "_part int, _first long")
     return (
-        placed.join(firsts, "_part")
+        placed.join(F.broadcast(firsts), "_part")
         .withColumn(name, F.col("_first") + F.col("_place"))
         .drop("_part", "_first", "_place")
     )
 
 
+def with_row_index(
+    df: DataFrame, order_by: Sequence[str], name: str = "row_index", partitions: int | None = None
+) -> DataFrame:
+    """Add the 0-based position of each row in the given order, without gathering the rows.
+
+    The rows are range partitioned and written once with their place inside the partition; a
+    partition's first position is the sum of the sizes before it. The scan position breaks ties; it
+    is stable for a table scan; stage other inputs first.
+    """
+    placed, _, starts = _placed(df, order_by, partitions or range_count(df))
+    return _positioned(placed, starts, name)
+
+
+def _keyed(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """With each row's place in the order as one value: the order columns, then the scan position."""
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    return tied.withColumn("_key", F.struct(*order_by, "_tie"))
+
+
+def _bounds(
+    df: DataFrame, order_by: Sequence[str], wanted: Callable[[Column, int], Column]
+) -> tuple[Column, int, int]:
+    """Order keys of the rows at the wanted positions, as one sorted array; their number; the row count.
+
+    `wanted` gets a position and the row count. Only the order columns are shuffled, and their copy
+    is removed before this returns.
+    """
+    spark = df.sparkSession
+    keys = _keyed(df, order_by).select("_key")
+    placed, path, starts = _placed(keys, ["_key"], range_count(keys))
+    try:
+        found = _positioned(placed, starts, "_position").filter(wanted(F.col("_position"), starts[-1]))
+        # By Arrow, as times of a repeated hour do not survive as Python's.
+        row = found.agg(F.sort_array(F.collect_list("_key")).alias("bounds")).toArrow()
+    finally:
+        paths.remove(spark, path)
+    schema = T.StructType([T.StructField("bounds", T.ArrayType(keys.schema["_key"].dataType))])
+    return spark.createDataFrame(row, schema).scalar(), len(row["bounds"][0]), starts[-1]
+
+
+def _bounds_up_to(key: Column, bounds: Column, count: int) -> Column:
+    """How many of the sorted bounds are not past the key, by binary search."""
+    if not count:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(count.bit_length()))])
+    # Past the last bound there is NULL, which is never reached.
+    return F.reduce(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at),
+    )
+
+
 def page_slice(
     df: DataFrame, order_by: Sequence[str], offset: int, limit: int = PAGE_SIZE
 ) -> DataFrame:
     """`limit` rows from `offset` on, in order; nothing when the offset is past the end.
 
     Early and late pages are cut by different plans from one order, in which the scan position
-    breaks ties, so that pages fit together wherever they begin.
+    breaks ties, so that pages fit together wherever they begin. The scan position is stable for a
+    table scan; stage other inputs first.
     For an early page, each group of input partitions keeps its leading rows, so the last merge
-    sees a fixed number of rows and not some of every input partition.
+    sees a fixed number of rows and not some of every input partition. For a late one, the order
+    columns alone are sorted to find the keys of its ends, and a scan filters by them.
     """
     end = offset + limit
     if end <= TOP_ROWS:
@@ -99,13 +148,14 @@ def page_slice(
             .drop("_group", "_rank")
         )
         return leaders.orderBy(*order_by, "_tie").offset(offset).limit(limit).drop("_tie")
-    position = F.col("_position")
-    return (
-        with_row_index(df, order_by, "_position")
-        .filter((position >= offset) & (position < end))
-        .orderBy("_position")
-        .drop("_position")
-    )
+    bounds, found, _ = _bounds(df, order_by, lambda position, _: position.isin(offset, end))
+    if not found:
+        return df.limit(0)
+    keyed = _keyed(df, order_by).withColumn("_bounds", bounds)
+    inside = F.col("_key") >= F.get("_bounds", F.lit(0))
+    if found == 2:
+        inside = inside & (F.col("_key") < F.get("_bounds", F.lit(1)))
+    return keyed.filter(inside).orderBy(*order_by, "_tie").drop("_tie", "_key", "_bounds")
 
 
 def page_status(df: DataFrame, offset: int, limit: int = PAGE_SIZE) -> DataFrame:
@@ -164,18 +214,35 @@ def envelopes(
     time_format: str = MICROS,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Messages `(key, value)`: a page of records as a JSON array, keyed by day and offset."""
+    """Messages `(key, value)`: a page of records as a JSON array, keyed by day and offset.
+
+    The order columns alone are sorted first, to find keys that cut the order into ranges of whole
+    pages. The rows then move once, to their range, and no page has rows in two of them; nothing is
+    left in the shared folder. The scan position breaks ties: stage an input that is no table scan.
+    """
     count = partitions or range_count(df)
-    # Encoding comes after the rows are placed: finding the ranges reads the input once more.
-    indexed = with_row_index(df, order_by, "_index", count)
-    encoded = indexed.select("_index", record_json(df, missing, time_format).alias("_json"))
-    page = F.floor(F.col("_index") / page_size)
-    # Partitioned by page first, the rows are shuffled once and the messages stay spread out.
+
+    def per_range(total: int) -> int:
+        return max(1, -(-total // (count * page_size))) * page_size
+
+    bounds, found, total = _bounds(
+        df, order_by, lambda position, rows: (position > 0) & (position % per_range(rows) == 0)
+    )
+    pages = per_range(total) // page_size
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by, "_tie")) - 1
+    ranged = (
+        _keyed(df, order_by)
+        .withColumn("_bounds", bounds)
+        .withColumn("_range", _bounds_up_to(F.col("_key"), F.col("_bounds"), found))
+        .drop("_bounds", "_key")
+        .repartitionById(found + 1, "_range")
+    )
     return (
-        encoded.withColumn("_page", page)
-        .repartition(count, "_page")
-        .groupBy("_page")
-        .agg(F.sort_array(F.collect_list(F.struct("_index", "_json"))).alias("_rows"))
+        ranged.select("_range", place.alias("_place"), record_json(df, missing, time_format).alias("_json"))
+        .withColumn("_page", F.floor(F.col("_place") / page_size))
+        .groupBy("_range", "_page")
+        .agg(F.sort_array(F.collect_list(F.struct("_place", "_json"))).alias("_rows"))
+        .withColumn("_page", F.col("_range").cast("long") * pages + F.col("_page"))
         .select(
             message_key(day, F.col("_page") * page_size).cast("binary").alias("key"),
             F.concat(F.lit("["), F.concat_ws(",", F.col("_rows._json")), F.lit("]"))

@@ -16,12 +16,16 @@ from tradelake.sources.tables import CatalogTable, Partition, PartitionedTable
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
     """`target` without the rows whose key is in `updates`, plus `updates`.
 
-    `updates` must have one row per key, and is read twice: stage it if it is costly. A NULL key matches nothing, so such target rows go past
-    the join: they are read by a separate filter and are never shuffled, however many there are.
+    `updates` must have one row per key, and is read twice: stage it if it is costly. `target` is read
+    once. A NULL key matches nothing, so its rows only pass through the join; where that shuffles, a
+    digest of the whole row and its partition spreads them, however many there are.
     """
     has_null = reduce(or_, (F.col(c).isNull() for c in key))
-    keyed = target.filter(~has_null).join(updates.select(*key), list(key), "left_anti")
-    unmatched = keyed.select(target.columns).unionByName(target.filter(has_null))
+    # A constant for the other rows would be folded out of the join's keys.
+    spread, digest = F.xxhash64(F.spark_partition_id(), *target.columns), F.xxhash64(*key)
+    spreading = target.withColumn("_spread", F.when(has_null, spread).otherwise(digest))
+    keys = updates.select(*key, digest.alias("_spread"))
+    unmatched = spreading.join(keys, [*key, "_spread"], "left_anti").select(target.columns)
     return unmatched.unionByName(updates.select(target.columns))
 
 
