@@ -15,6 +15,7 @@ from tradelake import session
 from tradelake.functions.calendar import day_name, today
 from tradelake.operators.paging import envelopes
 from tradelake.operators.summaries import MARKET, SUMMARIES
+from tradelake.plans import queries
 from tradelake.plans.daily import StageCounts, clean_days, ingest_day, report_days, run_day
 from tradelake.schemas import RAW, RECORD
 from tradelake.sources import messages
@@ -227,3 +228,21 @@ def test_scratch_goes_with_the_application(tmp_path):
             break
         time.sleep(0.1)
     assert not left
+
+
+@pytest.mark.parametrize("name", ["late_days"])
+def test_records_are_made_once(spark, sf, monkeypatch, name):
+    """Both topics are sent from rows that were derived and written once."""
+
+    class Sent(Exception):
+        pass
+
+    def send(lake, records, day):
+        read.extend(records.inputFiles())
+        raise Sent
+
+    read = []
+    monkeypatch.setattr(queries, "_send", send)
+    with pytest.raises(Sent):
+        queries.QUERIES[name](spark, sf)
+    assert read and not any("lineitem" in file for file in read)

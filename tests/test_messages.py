@@ -259,3 +259,17 @@ def test_counts_cover_all_batches(spark, tmp_path):
 def test_row_index_needs_no_single_partition(spark):
     indexed = with_row_index(numbers(spark, 1000), ["k"])
     assert "SinglePartition" not in plan(indexed)
+
+
+def test_pages_of_many_ranges_need_no_window_and_no_sort_by_a_structure(spark):
+    """Places are numbered in sorted partitions, and ranges are found by compiled steps."""
+    rows = spark.createDataFrame([(i % 7 or None, i) for i in range(1234)], "k int, v int")
+    sent = envelopes(rows, ["k"], DAY, page_size=10, partitions=9)
+    text = plan(sent)
+    assert "Window" not in text and "lambdafunction" not in text
+    pages = {int(bytes(r.key).decode().rsplit("_", 1)[1]): json.loads(bytes(r.value)) for r in sent.collect()}
+    assert sorted(pages) == list(range(0, 1234, 10))
+    assert all(len(page) == 10 for offset, page in pages.items() if offset < 1230)
+    got = [record for _, page in sorted(pages.items()) for record in page]
+    assert [r.get("k", 0) for r in got] == sorted(i % 7 for i in range(1234))
+    assert sorted(r["v"] for r in got) == list(range(1234))

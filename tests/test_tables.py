@@ -290,3 +290,18 @@ def test_some_days_are_replaced_and_others_stay(spark, market):
     replace_days(market, one, frozenset({date(2025, 6, 2), date(2025, 6, 3)}))
     found = {r.report_date.day: r.total_volume for r in market.read().collect()}
     assert found == {1: 1, 2: 9}
+
+
+def test_upsert_into_all_partitions_reads_no_digests(spark, silver, monkeypatch):
+    silver.append(raw(spark, record("a", at(19)), record("b", at(20))))
+    looked = []
+    holding = KeyIndex.holding
+    monkeypatch.setattr(KeyIndex, "holding", lambda *args: looked.append(args) or holding(*args))
+    # Every partition is written anyway; the index, missing so far, still gets the old keys.
+    both = raw(spark, record("b", at(19)), record("c", at(20)))
+    assert upsert_into(silver, both, KEY) == {(2025, 6, 19), (2025, 6, 20)}
+    assert not looked
+    assert key_times(silver.read()) == [("a", at(19)), ("b", at(19)), ("c", at(20))]
+    assert upsert_into(silver, raw(spark, record("a", at(21))), KEY) == {(2025, 6, 19), (2025, 6, 21)}
+    assert looked
+    assert key_times(silver.read()) == [("a", at(21)), ("b", at(19)), ("c", at(20))]

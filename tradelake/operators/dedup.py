@@ -17,13 +17,15 @@ def latest_per_key(
 
     Rows that tie on `ts` are ordered by their remaining columns (the date parts follow from
     `ts`), so the choice does not depend on how rows were distributed. The planner applies the `= 1` limit before the shuffle as well
-    as after it: a hot key sends one row per task.
+    as after it: a hot key sends one row per task. A digest of the key leads the sort, as keys often share the
+    first bytes, which a sort compares by.
     """
     rest = [c for c in df.columns if c not in (*key, ts, *DAY_PARTS)]
     order = [F.col(ts).desc_nulls_last(), *(F.col(c).asc_nulls_last() for c in rest)]
-    newest = Window.partitionBy(*key).orderBy(*order)
+    newest = Window.partitionBy("_digest", *key).orderBy(*order)
     return (
-        df.withColumn("_rank", F.row_number().over(newest))
+        df.withColumn("_digest", F.xxhash64(*key))
+        .withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") == 1)
-        .drop("_rank")
+        .drop("_digest", "_rank")
     )

@@ -43,17 +43,17 @@ def range_count(df: DataFrame) -> int:
     return max(configured, size // _RANGE_BYTES)
 
 
-def _placed(df: DataFrame, order_by: Sequence[str], count: int) -> tuple[DataFrame, str, list[int]]:
-    """The rows in order, written once with their range and their place in it; each range's first position.
+def _tied(df: DataFrame) -> DataFrame:
+    """With the scan position, which breaks ties, so that equal rows, however many, spread over several ranges."""
+    return df.withColumn("_tie", F.monotonically_increasing_id())
 
-    The scan position breaks ties, so equal rows, however many, spread over several ranges.
-    """
+
+def _placed(tied: DataFrame, order_by: Sequence[str], count: int) -> tuple[DataFrame, str, list[int]]:
+    """The rows in order, written once with their range and their place in it; each range's first position."""
     keys = [*order_by, "_tie"]
     placed, path = stage(
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(count, *keys)
+        tied.repartitionByRange(count, *keys)
         .sortWithinPartitions(*keys)
-        .drop("_tie")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))),
         "row-index",
@@ -81,14 +81,13 @@ def with_row_index(
     partition's first position is the sum of the sizes before it. The scan position breaks ties; it
     is stable for a table scan; stage other inputs first.
     """
-    placed, _, starts = _placed(df, order_by, partitions or range_count(df))
-    return _positioned(placed, starts, name)
+    placed, _, starts = _placed(_tied(df), order_by, partitions or range_count(df))
+    return _positioned(placed.drop("_tie"), starts, name)
 
 
 def _keyed(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """With each row's place in the order as one value: the order columns, then the scan position."""
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    return tied.withColumn("_key", F.struct(*order_by, "_tie"))
+    return _tied(df).withColumn("_key", F.struct(*order_by, "_tie"))
 
 
 def _bounds(
@@ -100,29 +99,35 @@ def _bounds(
     is removed before this returns.
     """
     spark = df.sparkSession
-    keys = _keyed(df, order_by).select("_key")
-    placed, path, starts = _placed(keys, ["_key"], range_count(keys))
+    # As columns of their own they sort faster than as one value.
+    keys = _tied(df).select(*order_by, "_tie")
+    placed, path, starts = _placed(keys, order_by, range_count(keys))
+    key = F.struct(*order_by, "_tie")
     try:
-        found = _positioned(placed, starts, "_position").filter(wanted(F.col("_position"), starts[-1]))
+        found = (
+            _positioned(placed, starts, "_position")
+            .filter(wanted(F.col("_position"), starts[-1]))
+            .select(key.alias("_key"))
+        )
         # By Arrow, as times of a repeated hour do not survive as Python's.
         row = found.agg(F.sort_array(F.collect_list("_key")).alias("bounds")).toArrow()
     finally:
         paths.remove(spark, path)
-    schema = T.StructType([T.StructField("bounds", T.ArrayType(keys.schema["_key"].dataType))])
+    schema = T.StructType([T.StructField("bounds", T.ArrayType(keys.select(key).schema[0].dataType))])
     return spark.createDataFrame(row, schema).scalar(), len(row["bounds"][0]), starts[-1]
 
 
-def _bounds_up_to(key: Column, bounds: Column, count: int) -> Column:
-    """How many of the sorted bounds are not past the key, by binary search."""
-    if not count:
-        return F.lit(0)
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(count.bit_length()))])
-    # Past the last bound there is NULL, which is never reached.
-    return F.reduce(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at),
-    )
+def _with_range(keyed: DataFrame, bounds: Column, count: int) -> DataFrame:
+    """With `_range`, how many of the sorted bounds are not past the key, by binary search.
+
+    A projection for each step, as these are compiled and a function over an array is not.
+    """
+    ranged, at = keyed.withColumn("_range", F.lit(0)), F.col("_range")
+    for step in (1 << bit for bit in reversed(range(count.bit_length()))):
+        # Past the last bound there is NULL, which is never reached.
+        reached = F.get(bounds, at + step - 1) <= F.col("_key")
+        ranged = ranged.withColumn("_range", F.when(reached, at + step).otherwise(at))
+    return ranged
 
 
 def page_slice(
@@ -141,7 +146,7 @@ def page_slice(
     if end <= TOP_ROWS:
         leading = Window.partitionBy("_group").orderBy(*order_by, "_tie")
         leaders = (
-            df.withColumn("_tie", F.monotonically_increasing_id())
+            _tied(df)
             .withColumn("_group", F.spark_partition_id() % _TOP_GROUPS)
             .withColumn("_rank", F.row_number().over(leading))
             .filter(F.col("_rank") <= end)
@@ -229,13 +234,13 @@ def envelopes(
         df, order_by, lambda position, rows: (position > 0) & (position % per_range(rows) == 0)
     )
     pages = per_range(total) // page_size
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by, "_tie")) - 1
+    # A range is a partition of its own, so a row's place is its number there.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))
     ranged = (
-        _keyed(df, order_by)
-        .withColumn("_bounds", bounds)
-        .withColumn("_range", _bounds_up_to(F.col("_key"), F.col("_bounds"), found))
-        .drop("_bounds", "_key")
+        _with_range(_keyed(df, order_by), bounds, found)
+        .drop("_key")
         .repartitionById(found + 1, "_range")
+        .sortWithinPartitions(*order_by, "_tie")
     )
     return (
         ranged.select("_range", place.alias("_place"), record_json(df, missing, time_format).alias("_json"))

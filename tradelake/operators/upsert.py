@@ -25,7 +25,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFra
     spread, digest = F.xxhash64(F.spark_partition_id(), *target.columns), F.xxhash64(*key)
     spreading = target.withColumn("_spread", F.when(has_null, spread).otherwise(digest))
     keys = updates.select(*key, digest.alias("_spread"))
-    unmatched = spreading.join(keys, [*key, "_spread"], "left_anti").select(target.columns)
+    unmatched = spreading.join(keys, ["_spread", *key], "left_anti").select(target.columns)
     return unmatched.unionByName(updates.select(target.columns))
 
 
@@ -42,7 +42,7 @@ def upsert_into(
     touched = table.distinct_partitions(updates)
     index = None if set(table.partition_by) <= set(key) else KeyIndex(table, key)
     if index:
-        touched |= index.partitions(updates)
+        touched |= index.partitions(updates, touched)
         index.add(updates)
     if isinstance(table, CatalogTable) and table.row_level:
         merge_into_table(updates, table.name, key)

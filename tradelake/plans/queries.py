@@ -416,6 +416,15 @@ def _send(lake: Lake, records: DataFrame, day: date) -> str:
     return place
 
 
+def _halved(rows: DataFrame, *by: str) -> DataFrame:
+    """Each row with the number of its half."""
+    return rows.withColumn("_half", F.pmod(F.xxhash64(*by), F.lit(2)))
+
+
+def _half(halved: DataFrame, number: int) -> DataFrame:
+    return halved.filter(F.col("_half") == number).drop("_half")
+
+
 def daily_run_tables(spark: SparkSession, folder: str) -> DataFrame:
     """The daily jobs over catalog tables: two topics, cleaned and reported by table name."""
     with _own_catalog(spark) as (prefix, place):
@@ -435,11 +444,10 @@ def daily_run_tables(spark: SparkSession, folder: str) -> DataFrame:
 def late_days(spark: SparkSession, folder: str) -> DataFrame:
     """Two topics with rows of the same days; after each, the days to clean come from the ledger."""
     lake = Lake(spark, scratch_path(spark, "lake"))
-    rows = folded(trades(spark, folder))
-    for number, day in enumerate((RUN_DAY, date(2024, 2, 1))):
-        part = rows.filter(F.pmod(F.xxhash64("ts", *KEY), F.lit(2)) == number)
-        ingest_day(lake, _send(lake, part, day), day)
-        clean_pending(lake)
+    with staged(_halved(folded(trades(spark, folder)), "ts", *KEY), "records") as rows:
+        for number, day in enumerate((RUN_DAY, date(2024, 2, 1))):
+            ingest_day(lake, _send(lake, _half(rows, number), day), day)
+            clean_pending(lake)
     return lake.silver.read()
 
 

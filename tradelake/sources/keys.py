@@ -7,7 +7,7 @@ much (keys that moved away) costs a look into a partition. `rebuild` writes them
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Sequence, Set
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,13 +63,22 @@ class KeyIndex:
 
         Reads digests only. A partition's slice and the updates' one are compared as sets; no pairs are made.
         """
-        spark = self.table.spark
-        if not paths.exists(spark, f"{self.path}/_SUCCESS"):
-            self.rebuild()
-        held = spark.read.schema(self._schema()).parquet(self.path)
+        self._build()
+        held = self.table.spark.read.schema(self._schema()).parquet(self.path)
         wanted = self._digests(updates).withColumnRenamed("digests", "wanted")
         found = held.join(wanted, "slice").filter(F.arrays_overlap("digests", "wanted"))
         return found.select(*self.table.partition_by).distinct()
 
-    def partitions(self, updates: DataFrame) -> set[Partition]:
-        return {tuple(row) for row in self.holding(updates).collect()} & self.table.partitions()
+    def _build(self) -> None:
+        if not paths.exists(self.table.spark, f"{self.path}/_SUCCESS"):
+            self.rebuild()
+
+    def partitions(self, updates: DataFrame, known: Set[Partition] = frozenset()) -> set[Partition]:
+        """Those of `holding` that the table has, with none of `known`; no digest is read if it has no others."""
+        there = self.table.partitions()
+        unknown = there - known
+        if not unknown:
+            if there:
+                self._build()
+            return set()
+        return {tuple(row) for row in self.holding(updates).collect()} & unknown
