@@ -230,7 +230,7 @@ def test_scratch_goes_with_the_application(tmp_path):
     assert not left
 
 
-@pytest.mark.parametrize("name", ["late_days"])
+@pytest.mark.parametrize("name", ["daily_run_tables", "late_days"])
 def test_records_are_made_once(spark, sf, monkeypatch, name):
     """Both topics are sent from rows that were derived and written once."""
 

@@ -430,11 +430,10 @@ def daily_run_tables(spark: SparkSession, folder: str) -> DataFrame:
     with _own_catalog(spark) as (prefix, place):
         lake = Lake(spark, scratch_path(spark, "lake"), prefix)
         lake.create(place)
-        rows = folded(trades(spark, folder))
-        for number, day in enumerate((RUN_DAY, date(2024, 2, 1))):
-            part = rows.filter(F.pmod(F.xxhash64(*KEY), F.lit(2)) == number)
-            ingest_day(lake, _send(lake, part, day), day)
-        days = _day_bounds(rows, "ts", RUN_DAY)
+        with staged(_halved(folded(trades(spark, folder)), *KEY), "records") as rows:
+            for number, day in enumerate((RUN_DAY, date(2024, 2, 1))):
+                ingest_day(lake, _send(lake, _half(rows, number), day), day)
+            days = _day_bounds(rows, "ts", RUN_DAY)
         for _ in range(2):
             clean_days(lake, days)
         report_days(lake, days)
